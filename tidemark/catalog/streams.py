@@ -1 +1,75 @@
-"""Queries that run as streams."""
+"""Queries that run as streams over the stored tables, and file output read back.
+
+Each stream reads its table in bounded micro-batches and runs to the end of what is there. They take
+no watermark, so the result does not depend on the order in which files are read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.catalog.registry import query
+from tidemark.operators import topn, windows
+from tidemark.session import scratch_path
+from tidemark.sinks import writers
+from tidemark.sources import files
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A pattern, since a stream takes a plain path only for a folder and the table may be one file.
+    return files.parquet_stream(spark, f"{sf_dir}/events.parque[t]")
+
+
+@query("file_sink_roundtrip", "SELECT event_id, user_id, event_type, ts FROM events")
+def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as lines of text by a stream, then read and parsed."""
+    columns = [F.col(c) for c in ("event_id", "user_id", "event_type", "ts")]
+    lines = _events(spark, sf_dir).select(writers.text_line(*columns).alias("value"))
+    path = scratch_path(spark, "lines")
+    writers.run_to_end(writers.text_files(lines, path, scratch_path(spark, "lines-checkpoint")))
+    fields = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "ts": "timestamp_ntz"}
+    return files.parse_delimited(files.text_lines(spark, path), fields)
+
+
+@query("stream_group_count", "SELECT user_id, count(*) AS cnt FROM events GROUP BY user_id")
+def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count per user kept as a changelog; the last change of each user is the result."""
+    counts = _events(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"))
+    return writers.last_update(writers.collect_updates(counts, "group-count"), ["user_id"], "cnt")
+
+
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = windows.tumbling_count(events, "ts", "1 hour", ["event_type"])
+    updates = writers.collect_updates(counts, "hourly")
+    last = writers.last_update(updates, ["event_type", "window_start", "window_end"], "cnt")
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return last.withColumns(bounds)
+
+
+@query(
+    "stream_tumbling_count",
+    """
+    SELECT event_type, count(*) AS cnt, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+           time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end
+    FROM events GROUP BY ALL
+    """,
+)
+def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hourly(spark, sf_dir)
+
+
+@query(
+    "stream_window_topn",
+    """
+    WITH counts AS (
+      SELECT event_type, count(*) AS cnt, time_bucket(INTERVAL 1 HOUR, ts) AS window_start
+      FROM events GROUP BY ALL)
+    SELECT event_type, cnt, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+           row_number() OVER (PARTITION BY window_start ORDER BY cnt DESC, event_type) AS row_num
+    FROM counts QUALIFY row_num <= 2
+    """,
+)
+def stream_window_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.top_n_per(_hourly(spark, sf_dir), ["window_start", "window_end"], ["event_type"], 2)

@@ -32,12 +32,13 @@ def _merge_key(joined: DataFrame, key: str) -> DataFrame:
 def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str) -> DataFrame:
     """Pairs with the same key in the same tumbling window; columns become left_*, right_*.
 
-    The window is part of the join key, so a hot key is spread over its windows.
+    The window is part of the join key, so a hot key is spread over its windows. Batch or streaming.
     """
-    l = _labelled(left, "left").withColumn("window_start", window_start(F.col(f"left_{ts}"), size))
-    r = _labelled(right, "right").withColumn("__start", window_start(F.col(f"right_{ts}"), size))
-    joined = l.join(r, _same(key) & (F.col("window_start") == F.col("__start"))).drop("__start")
-    return _merge_key(joined, key)
+    l = _labelled(left, "left").withColumn("__window", F.window(f"left_{ts}", size))
+    r = _labelled(right, "right").withColumn("__right_window", F.window(f"right_{ts}", size))
+    joined = l.join(r, _same(key) & (F.col("__window") == F.col("__right_window")))
+    placed = joined.withColumn("window_start", F.col("__window.start"))
+    return _merge_key(placed.drop("__window", "__right_window"), key)
 
 
 def regular_join(left: DataFrame, right: DataFrame, key: str, arrival: str) -> DataFrame:

@@ -39,7 +39,12 @@ def segment_rows(spark: SparkSession) -> int:
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> list[Row]:
-    """Keys with more than ``rows`` rows, heaviest first, with their counts in ``ROWS``."""
+    """Keys with more than ``rows`` rows, heaviest first, with their counts in ``ROWS``.
+
+    Streams have none: their micro-batches bound what a key can send to one task at a time.
+    """
+    if df.isStreaming:
+        return []
     limit = rows or segment_rows(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)).where(F.col(ROWS) > limit)
     return counts.orderBy(F.desc(ROWS)).limit(MAX_HOT_KEYS).collect()
