@@ -34,13 +34,21 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str)
 
     The window is part of the join key, so a hot key is spread over its windows. Batch or streaming.
     """
-    l = _labelled(left, "left").withColumn("__window", F.window(f"left_{ts}", size))
-    r = _labelled(right, "right").withColumn("__right_window", F.window(f"right_{ts}", size))
+    l = _windowed(_labelled(left, "left"), f"left_{ts}", size, "__window")
+    r = _windowed(_labelled(right, "right"), f"right_{ts}", size, "__right_window")
     joined = l.join(r, _same(key) & (F.col("__window") == F.col("__right_window")))
     placed = joined.withColumn("window_start", F.col("__window.start"))
     return _merge_key(placed.drop("__window", "__right_window"), key)
 
 
+def _windowed(df: DataFrame, ts: str, size: str, name: str) -> DataFrame:
+    out = df.withColumn(name, F.window(ts, size))
+    if df.isStreaming:
+        # A stream may have one watermarked column: the window keeps the mark, the time loses it.
+        out = out.withColumn(ts, F.timestamp_micros(F.unix_micros(ts)))
+    return out
+
+
 def regular_join(left: DataFrame, right: DataFrame, key: str, arrival: str) -> DataFrame:
     """All pairs with the same key, whenever they came; ``last`` names the side that came later."""
     joined = _labelled(left, "left").join(_labelled(right, "right"), _same(key))
