@@ -128,8 +128,6 @@ def window_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def sequence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(
-        [("signup", "click"), ("click", "purchase")], "action1 string, action2 string"
-    )
+    rules = spark.sql("SELECT * FROM VALUES ('signup', 'click'), ('click', 'purchase') AS r(action1, action2)")
     events = table(spark, sf_dir, "events")
     return joins.sequence_rules(events, rules, "user_id", "event_id", "event_type")

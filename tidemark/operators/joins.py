@@ -110,10 +110,11 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str)
     cold = _outer(l.where(~F.col("__hot")).drop("__hot"), r.where(~F.col("__hot")).drop("__hot"), key, ts, within)
     tagged = (
         l.where("__hot").withColumn("side", F.lit("left")).unionByName(r.where("__hot").withColumn("side", F.lit("right")))
-    ).withColumn("__id", F.struct(ts, "side")).drop("__hot")
+    ).drop("__hot")
     on_left, on_right = (F.when(F.col("side") == s, F.col(ts)) for s in ("left", "right"))
-    behind = running(tagged, [key], [ts, "side"], __l0=highest(on_left), __r0=highest(on_right))
-    around = running(behind, [key], [ts, "side"], reverse=True, __l1=lowest(on_left), __r1=lowest(on_right))
+    found = hot_keys(tagged, [key])
+    behind = running(tagged, [key], [ts, "side"], hot=found, __l0=highest(on_left), __r0=highest(on_right))
+    around = running(behind, [key], [ts, "side"], reverse=True, hot=found, __l1=lowest(on_left), __r1=lowest(on_right))
     is_left = F.col("side") == "left"
     back = F.when(is_left, F.col("__r0")).otherwise(F.col("__l0"))
     ahead = F.when(is_left, F.col("__r1")).otherwise(F.col("__l1"))
@@ -172,8 +173,9 @@ def window_cogroup(
     )
     both = both.withColumn("window_start", window_start(F.col(ts), size))
     group = [key, "window_start", "__side"]
-    if hot_keys(both, group, limit):
-        placed = running(both, group, order, __nth=total(F.lit(1)))
+    large = hot_keys(both, group, limit, exact=True)
+    if large:
+        placed = running(both, group, order, hot=large, __nth=total(F.lit(1)))
         both = placed.withColumn("chunk", F.floor((F.col("__nth") - 1) / F.lit(limit)))
     else:
         both = both.withColumn("chunk", F.lit(0).cast("bigint"))

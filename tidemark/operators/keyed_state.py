@@ -27,12 +27,13 @@ def event_timers(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
 
 def ttl_count(df: DataFrame, key: str, ts: str, tie: str, ttl: str) -> DataFrame:
     """Rows of the key so far, where a pause of ``ttl`` or more forgets the earlier ones."""
+    hot = hot_keys(df, [key])
     placed = running(
-        df, [key], [ts, tie], __nth=total(F.lit(1)), __last=highest(F.col(ts), before=True)
+        df, [key], [ts, tie], hot=hot, __nth=total(F.lit(1)), __last=highest(F.col(ts), before=True)
     )
     gap = F.col("__last").isNull() | (F.col(ts) >= F.col("__last") + interval(ttl))
     started = placed.withColumn("__start", F.when(gap, F.col("__nth")))
-    runs = running(started, [key], [ts, tie], __from=highest(F.col("__start")))
+    runs = running(started, [key], [ts, tie], hot=hot, __from=highest(F.col("__start")))
     counted = runs.withColumn("cnt", F.col("__nth") - F.col("__from") + 1)
     return counted.drop("__nth", "__last", "__start", "__from")
 
@@ -106,9 +107,10 @@ def _jumped(times: DataFrame, key: str, period: int) -> DataFrame:
     )
     # A probe stands at its report's time, after the rows of that time.
     line = data.unionByName(probes)
-    counted = running(line, [key], ["at", "probe"], total=total(F.col("n")))
+    hot = hot_keys(line, [key])
+    counted = running(line, [key], ["at", "probe"], hot=hot, total=total(F.col("n")))
     later = lowest(F.when(F.col("probe") == 0, F.col("at")), before=True)
-    linked = running(counted, [key], ["at", "probe"], reverse=True, next=later)
+    linked = running(counted, [key], ["at", "probe"], reverse=True, hot=hot, next=later)
     links = (
         linked.where(F.col("probe") == 1)
         .select(key, F.col("origin").alias("at"), "next", "total")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import interval, window_start
 from tidemark.plans.scans import highest, running, total
+from tidemark.plans.skew import hot_keys
 
 ON_TIME, LATE, DROPPED = "on_time", "late", "dropped"
 
@@ -75,14 +76,16 @@ def refired_counts(classified: DataFrame, keys: list[str], arrival: list[str]) -
     """Every result the windows emit: the first one, then one more per accepted late row.
 
     ``refired_by`` is the arrival of the late row that caused the result, null for the first one.
-    Only late rows need an order; on-time rows are just counted.
+    Only late rows need an order; on-time rows are just counted. Which windows are hot is asked of all
+    rows, which needs no watermarks.
     """
     group = [*keys, "window_start", "window_end"]
+    hot = hot_keys(classified, group)
     first = (
         classified.where(F.col("arrived") == ON_TIME).groupBy(*group).agg(F.count(F.lit(1)).alias("cnt"))
     )
     late = classified.where(F.col("arrived") == LATE).select(*group, *arrival)
-    ranked = running(late, group, arrival, __nth=total(F.lit(1)))
+    ranked = running(late, group, arrival, hot=hot, __nth=total(F.lit(1)))
     base = first.withColumnRenamed("cnt", "__first")
     again = ranked.join(base, group, "left").select(
         *group,

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.plans.skew import BROADCAST_ROWS, SEGMENT, Segments, segmented
+from tidemark.plans.skew import BROADCAST_ROWS, HOT, SEGMENT, Segments, segmented
 
 LOCAL_ROW = "__row"
 CARRIED = "__carried"
@@ -74,13 +74,19 @@ def _attach(marked: DataFrame, carry: DataFrame, keys: list[str], segments: Segm
 
 
 def running(
-    df: DataFrame, keys: list[str], order: list[str], reverse: bool = False, **columns: Running
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    reverse: bool = False,
+    hot: list[Row] | None = None,
+    **columns: Running,
 ) -> DataFrame:
     """Add running aggregates per key in the given order (descending if ``reverse``).
 
-    ``order`` must be a total order within a key. Hot keys are cut along ``order[0]``.
+    ``order`` must be a total order within a key. Hot keys are cut along ``order[0]``; ``hot`` names
+    them if they are known already.
     """
-    segments = segmented(df, keys, order[0], reverse)
+    segments = segmented(df, keys, order[0], reverse, hot)
     if segments is None:
         ordered = Window.partitionBy(*keys).orderBy(*_ordering(order, reverse))
         return df.withColumns({name: _local(spec, ordered) for name, spec in columns.items()})
@@ -88,7 +94,7 @@ def running(
     ordered = Window.partitionBy(*keys, SEGMENT).orderBy(*_ordering(order, reverse))
     local = marked.withColumns({name: _local(spec, ordered) for name, spec in columns.items()})
     sums = (
-        marked.where("__hot")
+        marked.where(HOT)
         .groupBy(*keys, SEGMENT)
         .agg(*[AGGREGATE[s.kind](s.column).alias(f"__sum_{n}") for n, s in columns.items()])
     )
@@ -101,7 +107,7 @@ def running(
     joined = _attach(local, carry, keys, segments)
     combined = {n: _combine(s.kind, F.col(f"__carry_{n}"), F.col(n)) for n, s in columns.items()}
     return joined.withColumns(combined).drop(
-        SEGMENT, "__hot", *[f"__carry_{n}" for n in columns]
+        SEGMENT, HOT, *[f"__carry_{n}" for n in columns]
     )
 
 
@@ -111,9 +117,10 @@ def neighbours(
     order: list[str],
     columns: dict[str, tuple[Column, int]],
     reverse: bool = False,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Add ``name -> value of the row that is ``offset`` rows earlier`` (later if ``reverse``)."""
-    segments = segmented(df, keys, order[0], reverse)
+    segments = segmented(df, keys, order[0], reverse, hot)
     if segments is None:
         ordered = Window.partitionBy(*keys).orderBy(*_ordering(order, reverse))
         return df.withColumns({n: F.lag(c, k).over(ordered) for n, (c, k) in columns.items()})
@@ -124,7 +131,7 @@ def neighbours(
     item = F.struct(*[c.alias(n) for n, (c, _) in columns.items()])
     # The last `depth` rows of every segment, then those of the `depth` segments before it.
     tails = (
-        marked.where("__hot")
+        marked.where(HOT)
         .select(*keys, SEGMENT, item.alias("__item"), F.row_number().over(from_end).alias("__back"))
         .where(F.col("__back") <= depth)
         .groupBy(*keys, SEGMENT)
@@ -147,4 +154,4 @@ def neighbours(
         )
         for n, (_, k) in columns.items()
     }
-    return joined.withColumns(picked).drop(SEGMENT, "__hot", LOCAL_ROW, CARRIED)
+    return joined.withColumns(picked).drop(SEGMENT, HOT, LOCAL_ROW, CARRIED)

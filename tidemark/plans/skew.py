@@ -1,11 +1,15 @@
 """Finding hot keys and cutting them into ordered segments.
 
 A key may hold a large share of all rows. An operator that needs the rows of a key in order cannot
-simply hash on the key then: one task would get them all. Here the heavy keys are found with one
-counting pass (combined map-side) and only those are cut, along the order column, into segments of
-about ``spark.tidemark.segmentRows`` rows. The cut points come from quantile sketches, so dense
-stretches of time get more cuts. What reaches the driver is at most ``MAX_HOT_KEYS`` keys and, for
-all of them together, about one cut point per ``segmentRows`` rows of the input.
+simply hash on the key then: one task would get them all. Here the heavy keys are found first, and only
+those are cut, along the order column, into segments of about ``spark.tidemark.segmentRows`` rows.
+
+Both steps look at a random share of the key and order columns. That decides only where rows are
+processed, never which rows or what result: a key that is missed is at most a little above the limit,
+and an uneven cut gives an uneven task. Cut points are quantiles, so dense stretches of time get more
+cuts. What reaches the driver is at most ``MAX_HOT_KEYS`` keys and, for all of them together, about one
+cut point per ``segmentRows`` rows of the input; both then are constants of the plan, so every part of
+it, and every retried task, sees the same segments.
 """
 
 from __future__ import annotations
@@ -19,11 +23,13 @@ from pyspark.sql import types as T
 
 SEGMENT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
-MAX_SEGMENTS_PER_KEY = 4_096
+MAX_SEGMENTS_PER_KEY = 16_384
+SAMPLES_PER_SEGMENT = 100
 BROADCAST_ROWS = 1_000_000
 
 SEGMENT = "__segment"
 CUTS = "__cuts"
+HOT = "__hot"
 ROWS = "__rows"
 
 
@@ -38,15 +44,22 @@ def segment_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.tidemark.segmentRows", str(SEGMENT_ROWS)))
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> list[Row]:
-    """Keys with more than ``rows`` rows, heaviest first, with their counts in ``ROWS``.
+def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None, exact: bool = False) -> list[Row]:
+    """Keys with more than ``rows`` rows, heaviest first, with their (estimated) counts in ``ROWS``.
 
     Streams have none: their micro-batches bound what a key can send to one task at a time.
     """
     if df.isStreaming:
         return []
     limit = rows or segment_rows(df.sparkSession)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)).where(F.col(ROWS) > limit)
+    share = min(1.0, 2 * SAMPLES_PER_SEGMENT / limit)
+    looked_at = df.select(*keys)
+    if keys and not exact and share < 1:
+        looked_at = looked_at.where(F.rand(11) < share)
+        number = F.ceil(F.count(F.lit(1)) / F.lit(share))
+    else:
+        number = F.count(F.lit(1))
+    counts = looked_at.groupBy(*keys).agg(number.alias(ROWS)).where(F.col(ROWS) > limit)
     return counts.orderBy(F.desc(ROWS)).limit(MAX_HOT_KEYS).collect()
 
 
@@ -80,46 +93,60 @@ def sketchable(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def segmented(df: DataFrame, keys: list[str], order: str, reverse: bool = False) -> Segments | None:
+def segmented(
+    df: DataFrame, keys: list[str], order: str, reverse: bool = False, hot: list[Row] | None = None
+) -> Segments | None:
     """``df`` with hot keys cut along ``order``; None when no key is hot.
 
     Segment numbers follow the order (the reversed order if ``reverse``); cold keys have segment 0.
+    ``hot`` saves a second search where the hot keys are known already.
     """
-    target = segment_rows(df.sparkSession)
-    hot = hot_keys(df, keys, target)
+    hot = hot_keys(df, keys) if hot is None else hot
     if not hot:
         return None
-    parts = [min(ceil(r[ROWS] / target), MAX_SEGMENTS_PER_KEY) for r in hot]
-    finest = max(parts)
-    steps = [(*[r[k] for k in keys], finest // p) for r, p in zip(hot, parts)]
-    step = T.StructField("__step", T.IntegerType())
-    table = F.broadcast(key_table(df, keys, steps, [step]))
+    cuts, count, longest = _cut_points(df, keys, order, hot)
+    if keys:
+        cut = df.join(F.broadcast(cuts), same_key(keys), "left").drop(*[f"__key_{k}" for k in keys])
+    else:
+        cut = df.withColumn(CUTS, cuts.scalar())
+    # A binary search, written as a fold: how many cut points are <= the value.
     value = sketchable(df, order)
-    sketch = F.percentile_approx(value, [i / finest for i in range(1, finest)], 20 * finest)
-    thinned = F.array_distinct(
-        F.filter(F.col("__sketch"), lambda _, i: (i + 1) % F.col("__step") == 0)
-    )
-    cut = (
-        df.select(*keys, order)
-        .join(table, same_key(keys))
-        .groupBy(*[f"__key_{k}" for k in keys], "__step")
-        .agg(sketch.alias("__sketch"))
-        .select(*[f"__key_{k}" for k in keys], thinned.alias(CUTS))
-    )
-    rows = cut.collect()
-    cuts = df.sparkSession.createDataFrame(rows, cut.schema)
-    # Binary search as a fold: how many cut points are <= the value.
-    powers = [1 << i for i in reversed(range(max(len(r[CUTS] or []) for r in rows).bit_length() + 1))]
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length() + 1))])
     found = F.aggregate(
-        F.array(*[F.lit(p) for p in powers]),
+        powers,
         F.lit(0),
         lambda at, p: F.when(F.get(F.col(CUTS), at + p - 1) <= value, at + p).otherwise(at),
     )
     number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(-found if reverse else found)
-    frame = (
-        df.join(F.broadcast(cuts), same_key(keys), "left")
-        .withColumn(SEGMENT, number)
-        .withColumn("__hot", F.col(CUTS).isNotNull())
-        .drop(CUTS, *[f"__key_{k}" for k in keys])
-    )
-    return Segments(frame, sum(len(r[CUTS] or []) + 1 for r in rows))
+    frame = cut.withColumns({SEGMENT: number, HOT: F.col(CUTS).isNotNull()}).drop(CUTS)
+    return Segments(frame, count)
+
+
+def _cut_points(
+    df: DataFrame, keys: list[str], order: str, hot: list[Row]
+) -> tuple[DataFrame, int, int]:
+    """The hot keys' cut points as a constant table, their segments in all, and the longest list.
+
+    A key's sample is at most SAMPLES_PER_SEGMENT * MAX_SEGMENTS_PER_KEY values, in expectation.
+    """
+    target = segment_rows(df.sparkSession)
+    plan = []
+    for r in hot:
+        parts = min(ceil(r[ROWS] / target), MAX_SEGMENTS_PER_KEY)
+        plan.append((*[r[k] for k in keys], parts, min(1.0, SAMPLES_PER_SEGMENT * parts / r[ROWS])))
+    values = df.select(*keys, sketchable(df, order).alias("__value"))
+    if keys:
+        extra = [T.StructField("__parts", T.IntegerType()), T.StructField("__share", T.DoubleType())]
+        named = values.join(F.broadcast(key_table(df, keys, plan, extra)), same_key(keys))
+    else:
+        named = values.withColumns({"__parts": F.lit(plan[0][0]), "__share": F.lit(plan[0][1])})
+    group = [f"__key_{k}" for k in keys]
+    sample = named.where(F.rand(13) < F.col("__share")).groupBy(*group, "__parts")
+    ordered = sample.agg(F.sort_array(F.collect_list("__value")).alias("__sample"))
+    size = F.size("__sample").cast("bigint")
+    at = F.sequence(F.lit(1), F.col("__parts") - 1)
+    picked = F.transform(at, lambda i: F.get("__sample", F.floor(i * size / F.col("__parts")).cast("int")))
+    cut = ordered.select(*group, F.when(F.col("__parts") > 1, F.array_distinct(picked)).alias(CUTS))
+    rows = [tuple(r) for r in cut.collect()]
+    lengths = [len(r[-1] or []) for r in rows]
+    return df.sparkSession.createDataFrame(rows, cut.schema), sum(lengths) + len(rows), max(lengths, default=0)
