@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, table
+from tidemark.functions.aggregates import register_sql_functions
 from tidemark.functions.times import interval
 from tidemark.operators import late, topn, windows
 
@@ -85,9 +86,7 @@ def tumbling_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_uv(table(spark, sf_dir, "events"), "ts", "1 hour", "user_id")
 
 
-@query(
-    "cumulate_window",
-    """
+CUMULATE_SQL = """
     WITH steps AS (
       SELECT event_type, time_bucket(INTERVAL 6 HOUR, ts) AS window_start,
              unnest(generate_series(time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR,
@@ -95,13 +94,29 @@ def tumbling_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     INTERVAL 1 HOUR)) AS window_end
       FROM events)
     SELECT event_type, window_start, window_end, count(*) AS cnt FROM steps GROUP BY ALL
-    """,
-)
+    """
+
+
+@query("cumulate_window", CUMULATE_SQL)
 def cumulate_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return windows.cumulate_count(events, "ts", "6 hours", "1 hour", ["event_type"])
 
 
+@query("sql_cumulate_window", CUMULATE_SQL)
+def sql_cumulate_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report in SQL, through a registered table function."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """
+        SELECT event_type, w.window_start, w.window_end, count(1) AS cnt
+        FROM {events}, LATERAL cumulate_windows(ts, INTERVAL '1' HOUR, INTERVAL '6' HOUR) AS w
+        GROUP BY event_type, w.window_start, w.window_end
+        """,
+        events=table(spark, sf_dir, "events"),
+    )
+
+
 @query(
     "early_firing",
     """

@@ -39,3 +39,16 @@ def register_sql_functions(spark: SparkSession) -> None:
             CASE WHEN s <> '' AND rtrim(delimiter, s) = '' THEN CAST(array() AS ARRAY<STRING>)
                  ELSE split(rtrim(delimiter, s), concat('\\Q', delimiter, '\\E')) END) AS p(word)
     """)
+    # The cumulating windows that hold a time end at its own step's end, and so on to the full window's.
+    # A bare generator as the body keeps the lateral join a generator in the plan.
+    t = "unix_micros(CAST(ts AS TIMESTAMP))"
+    step, size = (f"(unix_micros(TIMESTAMP '1970-01-01 00:00:00Z' + {i}))" for i in ("step", "size"))
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION cumulate_windows(
+            ts TIMESTAMP_NTZ, step INTERVAL DAY TO SECOND, size INTERVAL DAY TO SECOND)
+          RETURNS TABLE (window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ) RETURN
+          SELECT w.s, w.e FROM inline(transform(
+            sequence({t} - pmod({t}, {step}) + {step}, {t} - pmod({t}, {size}) + {size}, {step}),
+            e -> struct(CAST(timestamp_micros({t} - pmod({t}, {size})) AS TIMESTAMP_NTZ),
+                        CAST(timestamp_micros(e) AS TIMESTAMP_NTZ)))) AS w(s, e)
+    """)

@@ -81,19 +81,15 @@ def refired_counts(classified: DataFrame, keys: list[str], arrival: list[str]) -
     """
     group = [*keys, "window_start", "window_end"]
     hot = hot_keys(classified, group)
-    first = (
-        classified.where(F.col("arrived") == ON_TIME).groupBy(*group).agg(F.count(F.lit(1)).alias("cnt"))
+    kinds = {f.name: f.dataType for f in classified.schema}
+    on_time = classified.where(F.col("arrived") == ON_TIME).groupBy(*group)
+    first = on_time.agg(F.count(F.lit(1)).alias("__n")).select(
+        *group, *[F.lit(None).cast(kinds[c]).alias(c) for c in arrival], "__n"
     )
-    late = classified.where(F.col("arrived") == LATE).select(*group, *arrival)
-    ranked = running(late, group, arrival, hot=hot, __nth=total(F.lit(1)))
-    base = first.withColumnRenamed("cnt", "__first")
-    again = ranked.join(base, group, "left").select(
-        *group,
-        F.col(arrival[-1]).alias("refired_by"),
-        (F.coalesce("__first", F.lit(0)) + F.col("__nth")).alias("cnt"),
-    )
-    no_cause = F.lit(None).cast(classified.schema[arrival[-1]].dataType)
-    return first.select(*group, no_cause.alias("refired_by"), "cnt").unionByName(again)
+    late = classified.where(F.col("arrived") == LATE).select(*group, *arrival, F.lit(1).alias("__n"))
+    # The first result has no arrival, so it comes first in the order and the late rows add to it.
+    emitted = running(first.unionByName(late), group, arrival, hot=hot, cnt=total(F.col("__n")))
+    return emitted.select(*group, F.col(arrival[-1]).alias("refired_by"), "cnt")
 
 
 def final_counts(classified: DataFrame, keys: list[str]) -> DataFrame:

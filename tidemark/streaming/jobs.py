@@ -85,6 +85,7 @@ def late_data_batches(
             .withColumn("window_end", F.col("window_start") + interval(window))
             .withColumn("__out", F.coalesce(over <= F.col("__mark"), F.lit(False)))
             .withColumn("__late", F.coalesce(last <= F.col("__mark"), F.lit(False)))
+            .persist()
         )
         dropped(placed.where("__out").select(*batch.columns), batch_id)
 
@@ -102,7 +103,7 @@ def late_data_batches(
             *group, F.col(arrival[-1]).alias("refired_by"), (F.coalesce("cnt", F.lit(0)) + F.col("__nth")).alias("cnt")
         )
         extra = late.groupBy(*group).agg(F.count(F.lit(1)).alias("__more"))
-        now_seen = F.greatest(rows.agg(F.max(ts)).scalar(), seen)
+        now_seen = F.greatest(placed.agg(F.max(ts)).scalar(), seen)
         passed = F.coalesce(last <= mark(now_seen), F.lit(False))
         first = before.where(~F.col("fired") & passed & (F.col("cnt") > 0)).select(
             *group, F.lit(None).cast(fields[arrival[-1]]).alias("refired_by"), "cnt"
@@ -118,6 +119,7 @@ def late_data_batches(
         )
         after.write.mode("overwrite").parquet(batch_folder(gap, batch_id))
         spark.range(1).select(now_seen.alias("seen")).write.mode("overwrite").parquet(batch_folder(high, batch_id))
+        placed.unpersist()
 
     return run
 
