@@ -6,8 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.plans.scans import highest, lowest, neighbours, running, total
-from tidemark.plans.skew import segmented
+from tidemark.plans.scans import extend, highest, look_back, lowest, neighbours, running, total
+from tidemark.plans.skew import hot_keys, segmented
 
 
 def skewed(spark, seed=3, n=400):
@@ -67,3 +67,36 @@ def test_segments_are_bounded_and_ordered(spark, tiny_segments):
     found = [tuple(r) for r in sizes.orderBy("__segment").select("n", "lo", "hi").collect()]
     assert max(n for n, _, _ in found) <= 14
     assert all(a[2] < b[1] for a, b in zip(found, found[1:]))
+
+
+def test_sampled_hot_keys(spark):
+    """With a real limit only a share of the rows is looked at; the result is the same."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(2000)) + 1)
+    df = spark.range(300_000).select(key.alias("k"), "id")
+    plain = running(df, ["k"], ["id"], n=total(F.lit(1)))
+    spark.conf.set("spark.tidemark.segmentRows", "5000")
+    try:
+        hot = hot_keys(df, ["k"])
+        assert [r.k for r in hot] == [0] and 60_000 < hot[0]["__rows"] < 150_000
+        cut = segmented(df, ["k"], "id")
+        sizes = [r["count"] for r in cut.frame.where("k = 0").groupBy("__segment").count().collect()]
+        assert sum(sizes) == 100_000 and len(sizes) > 10 and max(sizes) < 15_000
+        split = running(df, ["k"], ["id"], n=total(F.lit(1)))
+        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    finally:
+        spark.conf.unset("spark.tidemark.segmentRows")
+
+
+def test_scans_share_one_shuffle(spark, tiny_segments):
+    """A forward scan, a backward scan and a look back over cut rows shuffle the rows once."""
+    df = skewed(spark)
+    cut = segmented(df, ["k"], "ts")
+    once = extend(cut, ["k"], ["ts", "id"], n=total(F.lit(1)))
+    both_ways = extend(once, ["k"], ["ts", "id"], reverse=True, m=total(F.lit(1)))
+    out = look_back(both_ways, ["k"], ["ts", "id"], {"p": (F.col("v"), 1)}).plain()
+    per_key = {r.k: r.c for r in df.groupBy("k").agg(F.count("*").alias("c")).collect()}
+    assert all(r.n + r.m == per_key[r.k] + 1 for r in out.collect())
+    big = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines()
+           if "Exchange hashpartitioning(k" in line and "__segment" in line]
+    left_most = min(len(line) - len(line.lstrip(" :+-|")) for line in big)
+    assert sum(len(line) - len(line.lstrip(" :+-|")) == left_most for line in big) == 1

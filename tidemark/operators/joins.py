@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import duration_micros, interval, micros, window_start
-from tidemark.plans.scans import highest, lowest, neighbours, running, total
-from tidemark.plans.skew import hot_keys, mark_hot, segment_rows
+from tidemark.plans.scans import extend, highest, lowest, neighbours, running, total
+from tidemark.plans.skew import hot_keys, mark_hot, segment_rows, segmented
 
 RULES_BROADCAST = 100_000
 
@@ -112,9 +112,9 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str)
         l.where("__hot").withColumn("side", F.lit("left")).unionByName(r.where("__hot").withColumn("side", F.lit("right")))
     ).drop("__hot")
     on_left, on_right = (F.when(F.col("side") == s, F.col(ts)) for s in ("left", "right"))
-    found = hot_keys(tagged, [key])
-    behind = running(tagged, [key], [ts, "side"], hot=found, __l0=highest(on_left), __r0=highest(on_right))
-    around = running(behind, [key], [ts, "side"], reverse=True, hot=found, __l1=lowest(on_left), __r1=lowest(on_right))
+    cut, order = segmented(tagged, [key], ts), [ts, "side"]
+    behind = extend(cut, [key], order, __l0=highest(on_left), __r0=highest(on_right))
+    around = extend(behind, [key], order, reverse=True, __l1=lowest(on_left), __r1=lowest(on_right)).plain()
     is_left = F.col("side") == "left"
     back = F.when(is_left, F.col("__r0")).otherwise(F.col("__l0"))
     ahead = F.when(is_left, F.col("__r1")).otherwise(F.col("__l1"))

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import duration_micros, interval, micros
-from tidemark.plans.scans import highest, lowest, running, total
-from tidemark.plans.skew import hot_keys, mark_hot
+from tidemark.plans.scans import extend, highest, lowest, running, total
+from tidemark.plans.skew import hot_keys, mark_hot, segmented
 from tidemark.session import ensure_checkpoint_dir
 
 
@@ -27,15 +27,16 @@ def event_timers(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
 
 def ttl_count(df: DataFrame, key: str, ts: str, tie: str, ttl: str) -> DataFrame:
     """Rows of the key so far, where a pause of ``ttl`` or more forgets the earlier ones."""
-    hot = hot_keys(df, [key])
-    placed = running(
-        df, [key], [ts, tie], hot=hot, __nth=total(F.lit(1)), __last=highest(F.col(ts), before=True)
+    order = [ts, tie]
+    cut = segmented(df, [key], ts)
+    placed = extend(
+        cut, [key], order, __nth=total(F.lit(1)), __last=highest(F.col(ts), before=True)
     )
     gap = F.col("__last").isNull() | (F.col(ts) >= F.col("__last") + interval(ttl))
-    started = placed.withColumn("__start", F.when(gap, F.col("__nth")))
-    runs = running(started, [key], [ts, tie], hot=hot, __from=highest(F.col("__start")))
+    started = highest(F.when(gap, F.col("__nth")))
+    runs = extend(placed, [key], order, __from=started).plain()
     counted = runs.withColumn("cnt", F.col("__nth") - F.col("__from") + 1)
-    return counted.drop("__nth", "__last", "__start", "__from")
+    return counted.drop("__nth", "__last", "__from")
 
 
 def periodic_totals(df: DataFrame, key: str, ts: str, period: str) -> DataFrame:
@@ -107,10 +108,10 @@ def _jumped(times: DataFrame, key: str, period: int) -> DataFrame:
     )
     # A probe stands at its report's time, after the rows of that time.
     line = data.unionByName(probes)
-    hot = hot_keys(line, [key])
-    counted = running(line, [key], ["at", "probe"], hot=hot, total=total(F.col("n")))
+    order = ["at", "probe"]
+    counted = extend(segmented(line, [key], "at"), [key], order, total=total(F.col("n")))
     later = lowest(F.when(F.col("probe") == 0, F.col("at")), before=True)
-    linked = running(counted, [key], ["at", "probe"], reverse=True, hot=hot, next=later)
+    linked = extend(counted, [key], order, reverse=True, next=later).plain()
     links = (
         linked.where(F.col("probe") == 1)
         .select(key, F.col("origin").alias("at"), "next", "total")

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import interval
-from tidemark.plans.scans import highest, lowest, neighbours, running, total
-from tidemark.plans.skew import hot_keys
+from tidemark.plans.scans import extend, highest, look_back, lowest, neighbours, running, total
+from tidemark.plans.skew import segmented
 
 STEP_NAMES = ["first", "second", "third", "fourth", "fifth", "sixth"]
 
@@ -38,12 +38,12 @@ def repeated(df: DataFrame, key: str, order: list[str], condition: Column, times
     The row itself meets it, and the last row before it that does not is ``times`` rows back or more:
     the run is measured by position, so ``times`` may be any number.
     """
-    hot = hot_keys(df, [key])
-    placed = running(df, [key], order, hot=hot, __nth=total(F.lit(1)))
+    cut = segmented(df, [key], order[0])
+    placed = extend(cut, [key], order, __nth=total(F.lit(1)))
     broken = F.when(condition, F.lit(None)).otherwise(F.col("__nth"))
-    runs = running(placed, [key], order, hot=hot, __broken=highest(broken))
+    runs = extend(placed, [key], order, __broken=highest(broken))
     length = F.col("__nth") - F.coalesce("__broken", F.lit(0))
-    first = neighbours(runs, [key], order, {"first_ts": (F.col(ts), times - 1)}, hot=hot)
+    first = look_back(runs, [key], order, {"first_ts": (F.col(ts), times - 1)}).plain()
     return first.where(condition & (length >= times)).select(
         key, "first_ts", F.col(ts).alias("last_ts")
     )

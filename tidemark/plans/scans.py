@@ -3,7 +3,8 @@
 ``running`` and ``neighbours`` give what window functions over ``partitionBy(keys).orderBy(order)``
 give. If no key is hot, that window is what runs. Otherwise rows are hashed on (key, segment): the
 window runs inside each segment, and what comes before a segment is added from a small table with
-one row per segment of a hot key. Rows are shuffled once in both forms.
+one row per segment of a hot key. ``extend`` and ``look_back`` do the same on rows that are cut
+already: several of them, in either direction, share one shuffle of the rows.
 """
 
 from __future__ import annotations
@@ -48,8 +49,8 @@ def _combine(kind: str, earlier: Column, local: Column) -> Column:
     return F.greatest(earlier, local) if kind == "max" else F.least(earlier, local)
 
 
-def _ordering(order: list[str], reverse: bool) -> list[Column]:
-    return [F.desc(c) if reverse else F.asc(c) for c in order]
+def _window(partition: list[str], order: list[str], reverse: bool) -> WindowSpec:
+    return Window.partitionBy(*partition).orderBy(*[F.desc(c) if reverse else F.asc(c) for c in order])
 
 
 def _local(spec: Running, ordered: WindowSpec) -> Column:
@@ -58,7 +59,7 @@ def _local(spec: Running, ordered: WindowSpec) -> Column:
     return F.coalesce(value, F.lit(0)) if spec.kind == "sum" else value
 
 
-def _attach(marked: DataFrame, carry: DataFrame, keys: list[str], segments: Segments) -> DataFrame:
+def _attach(rows: DataFrame, carry: DataFrame, keys: list[str], segments: Segments) -> DataFrame:
     """Join the per-segment table back; it is broadcast while its known row count is small."""
     renamed = carry.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
@@ -70,88 +71,90 @@ def _attach(marked: DataFrame, carry: DataFrame, keys: list[str], segments: Segm
         condition = condition & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
     if segments.count <= BROADCAST_ROWS:
         renamed = F.broadcast(renamed)
-    return marked.join(renamed, condition, "left").drop("__at", *[f"__key_{k}" for k in keys])
+    return rows.join(renamed, condition, "left").drop("__at", *[f"__key_{k}" for k in keys])
 
 
-def running(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    reverse: bool = False,
-    hot: list[Row] | None = None,
-    **columns: Running,
-) -> DataFrame:
+def extend(
+    segments: Segments, keys: list[str], order: list[str], reverse: bool = False, **columns: Running
+) -> Segments:
     """Add running aggregates per key in the given order (descending if ``reverse``).
 
-    ``order`` must be a total order within a key. Hot keys are cut along ``order[0]``; ``hot`` names
-    them if they are known already.
+    ``order`` must be a total order within a key, and start with the column the segments are cut on.
     """
-    segments = segmented(df, keys, order[0], reverse, hot)
-    if segments is None:
-        ordered = Window.partitionBy(*keys).orderBy(*_ordering(order, reverse))
-        return df.withColumns({name: _local(spec, ordered) for name, spec in columns.items()})
-    marked = segments.frame
-    ordered = Window.partitionBy(*keys, SEGMENT).orderBy(*_ordering(order, reverse))
-    local = marked.withColumns({name: _local(spec, ordered) for name, spec in columns.items()})
+    rows = segments.frame
+    if not segments.count:
+        ordered = _window(keys, order, reverse)
+        return Segments(rows.withColumns({n: _local(s, ordered) for n, s in columns.items()}), 0)
+    ordered = _window([*keys, SEGMENT], order, reverse)
+    local = rows.withColumns({n: _local(s, ordered) for n, s in columns.items()})
     sums = (
-        marked.where(HOT)
+        rows.where(HOT)
         .groupBy(*keys, SEGMENT)
         .agg(*[AGGREGATE[s.kind](s.column).alias(f"__sum_{n}") for n, s in columns.items()])
     )
-    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = _window(keys, [SEGMENT], reverse).rowsBetween(Window.unboundedPreceding, -1)
     carry = sums.select(
         *keys,
         SEGMENT,
         *[AGGREGATE[s.kind](f"__sum_{n}").over(earlier).alias(f"__carry_{n}") for n, s in columns.items()],
     )
-    joined = _attach(local, carry, keys, segments)
     combined = {n: _combine(s.kind, F.col(f"__carry_{n}"), F.col(n)) for n, s in columns.items()}
-    return joined.withColumns(combined).drop(
-        SEGMENT, HOT, *[f"__carry_{n}" for n in columns]
-    )
+    joined = _attach(local, carry, keys, segments).withColumns(combined)
+    return Segments(joined.drop(*[f"__carry_{n}" for n in columns]), segments.count)
 
 
-def neighbours(
-    df: DataFrame,
+def look_back(
+    segments: Segments,
     keys: list[str],
     order: list[str],
     columns: dict[str, tuple[Column, int]],
     reverse: bool = False,
-    hot: list[Row] | None = None,
-) -> DataFrame:
+) -> Segments:
     """Add ``name -> value of the row that is ``offset`` rows earlier`` (later if ``reverse``)."""
-    segments = segmented(df, keys, order[0], reverse, hot)
-    if segments is None:
-        ordered = Window.partitionBy(*keys).orderBy(*_ordering(order, reverse))
-        return df.withColumns({n: F.lag(c, k).over(ordered) for n, (c, k) in columns.items()})
-    marked = segments.frame
+    rows = segments.frame
+    ordered = _window([*keys, SEGMENT] if segments.count else keys, order, reverse)
+    lags = {n: F.lag(c, k).over(ordered) for n, (c, k) in columns.items()}
+    if not segments.count:
+        return Segments(rows.withColumns(lags), 0)
     depth = max(k for _, k in columns.values())
-    ordered = Window.partitionBy(*keys, SEGMENT).orderBy(*_ordering(order, reverse))
-    from_end = Window.partitionBy(*keys, SEGMENT).orderBy(*_ordering(order, not reverse))
     item = F.struct(*[c.alias(n) for n, (c, _) in columns.items()])
     # The last `depth` rows of every segment, then those of the `depth` segments before it.
+    from_end = F.row_number().over(_window([*keys, SEGMENT], order, not reverse))
     tails = (
-        marked.where(HOT)
-        .select(*keys, SEGMENT, item.alias("__item"), F.row_number().over(from_end).alias("__back"))
+        rows.where(HOT)
+        .select(*keys, SEGMENT, item.alias("__item"), from_end.alias("__back"))
         .where(F.col("__back") <= depth)
         .groupBy(*keys, SEGMENT)
         .agg(F.sort_array(F.collect_list(F.struct("__back", "__item")), asc=False).alias("__tail"))
     )
-    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(-depth, -1)
+    earlier = _window(keys, [SEGMENT], reverse).rowsBetween(-depth, -1)
     carry = tails.select(
         *keys, SEGMENT, F.flatten(F.collect_list("__tail").over(earlier)).alias(CARRIED)
     )
-    local = marked.withColumns(
-        {
-            LOCAL_ROW: F.row_number().over(ordered),
-            **{n: F.lag(c, k).over(ordered) for n, (c, k) in columns.items()},
-        }
-    )
-    joined = _attach(local, carry, keys, segments)
+    local = rows.withColumns({LOCAL_ROW: F.row_number().over(ordered), **lags})
+    place = {n: F.size(CARRIED) - (F.lit(k + 1) - F.col(LOCAL_ROW)) for n, (_, k) in columns.items()}
     picked = {
-        n: F.when(F.col(LOCAL_ROW) > k, F.col(n)).otherwise(
-            F.get(F.col(CARRIED), F.size(CARRIED) - (F.lit(k + 1) - F.col(LOCAL_ROW)))["__item"][n]
-        )
+        n: F.when(F.col(LOCAL_ROW) > k, F.col(n)).otherwise(F.get(F.col(CARRIED), place[n])["__item"][n])
         for n, (_, k) in columns.items()
     }
-    return joined.withColumns(picked).drop(SEGMENT, HOT, LOCAL_ROW, CARRIED)
+    joined = _attach(local, carry, keys, segments).withColumns(picked)
+    return Segments(joined.drop(LOCAL_ROW, CARRIED), segments.count)
+
+
+def running(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    reverse: bool = False,
+    hot: list[Row] | None = None,
+    **columns: Running,
+) -> DataFrame:
+    """``extend`` on rows that are not cut yet. ``hot`` names the hot keys if they are known."""
+    return extend(segmented(df, keys, order[0], hot), keys, order, reverse, **columns).plain()
+
+
+def neighbours(
+    df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[Column, int]], reverse: bool = False
+) -> DataFrame:
+    """``look_back`` on rows that are not cut yet."""
+    return look_back(segmented(df, keys, order[0]), keys, order, columns, reverse).plain()

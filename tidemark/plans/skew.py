@@ -34,11 +34,19 @@ ROWS = "__rows"
 
 
 class Segments(NamedTuple):
-    """A frame with a ``SEGMENT`` column, and how many segments the hot keys have."""
+    """A frame, and how many segments its hot keys have in all.
+
+    With no hot keys the count is 0 and the frame is as it was; otherwise it has a ``SEGMENT`` column,
+    numbered along the order, with 0 for cold keys.
+    """
 
     frame: DataFrame
     count: int
 
+    def plain(self) -> DataFrame:
+        """The frame without the segment columns."""
+        return self.frame.drop(SEGMENT, HOT) if self.count else self.frame
+
 
 def segment_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.tidemark.segmentRows", str(SEGMENT_ROWS)))
@@ -93,17 +101,11 @@ def sketchable(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def segmented(
-    df: DataFrame, keys: list[str], order: str, reverse: bool = False, hot: list[Row] | None = None
-) -> Segments | None:
-    """``df`` with hot keys cut along ``order``; None when no key is hot.
-
-    Segment numbers follow the order (the reversed order if ``reverse``); cold keys have segment 0.
-    ``hot`` saves a second search where the hot keys are known already.
-    """
+def segmented(df: DataFrame, keys: list[str], order: str, hot: list[Row] | None = None) -> Segments:
+    """``df`` with hot keys cut along ``order``. ``hot`` saves the search where they are known already."""
     hot = hot_keys(df, keys) if hot is None else hot
     if not hot:
-        return None
+        return Segments(df, 0)
     cuts, count, longest = _cut_points(df, keys, order, hot)
     if keys:
         cut = df.join(F.broadcast(cuts), same_key(keys), "left").drop(*[f"__key_{k}" for k in keys])
@@ -117,7 +119,7 @@ def segmented(
         F.lit(0),
         lambda at, p: F.when(F.get(F.col(CUTS), at + p - 1) <= value, at + p).otherwise(at),
     )
-    number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(-found if reverse else found)
+    number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(found)
     frame = cut.withColumns({SEGMENT: number, HOT: F.col(CUTS).isNotNull()}).drop(CUTS)
     return Segments(frame, count)
 
