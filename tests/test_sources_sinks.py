@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.transforms import word_count
 from tidemark.sinks import shapes, writers
 from tidemark.sources import brokers, files, generated
+from tidemark.sources.views import csv_view
 
 
 def write(path, lines):
@@ -148,3 +149,18 @@ def test_jdbc_batches_retry():
     assert batch.saves == 6 and batch.seen["mode"] == "append" and batch.seen["dbtable"] == "clicks"
     with pytest.raises(RuntimeError):
         writers.jdbc_batches(options, retries=2)(FailingWriter(5), 0)
+
+
+def test_sql_over_a_csv_view(spark, tmp_path):
+    lines = [f"{u}, ./home, {i * 1000}" for i, u in enumerate(["Mary"] * 3 + ["Alice"] + ["Bob"] * 8)]
+    path = write(tmp_path / "clicks.csv", lines)
+    csv_view(spark, "click_table", path, "user string, url string, ts bigint", "ts")
+    top = spark.sql("""
+        SELECT user, cnt, row_num FROM (
+          SELECT *, row_number() OVER (ORDER BY cnt DESC) AS row_num
+          FROM (SELECT user, count(url) AS cnt FROM click_table GROUP BY user))
+        WHERE row_num <= 2
+    """)
+    assert rows(top) == [("Bob", 8, 1), ("Mary", 3, 2)]
+    hourly = spark.sql("SELECT user, count(1) AS c FROM click_table GROUP BY user, window(et, '5 seconds')")
+    assert rows(hourly) == [("Alice", 1), ("Bob", 1), ("Bob", 2), ("Bob", 5), ("Mary", 3)]

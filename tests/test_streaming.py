@@ -210,3 +210,16 @@ def test_console_and_rolling_count_stream(spark, tmp_path):
     assert rows(writers.last_update(updates, ["user"], "cnt")) == [("Alice", 2), ("Bob", 5), ("Mary", 1)]
     query = writers.run_to_end(writers.console(stream.select("user"), "label"))
     assert query.exception() is None
+
+
+def test_union_watermark_is_the_lowest(spark, tmp_path):
+    """A window closes only once both inputs are past it."""
+    ahead = [("a", 1000), ("a", FAR), ("a", FAR + 1)]
+    behind = [("b", 1500), ("b", 2000), ("b", 2500)]
+    parts = []
+    for name, data in (("ahead", ahead), ("behind", behind)):
+        stream = with_time(stream_of(spark, replay(tmp_path, data, name), "k string, ms bigint"))
+        parts.append(stream.select("k", "ts"))
+    counts = windows.tumbling_count(parts[0].unionByName(parts[1]), "ts", "1 second", ["k"])
+    closed = run(counts, "union", tmp_path)
+    assert rows(closed, "k", ms("window_start"), "cnt") == [("a", 1000, 1), ("b", 1000, 1)]

@@ -97,8 +97,9 @@ def _walked(times: DataFrame, key: str, period: int) -> DataFrame:
 def _jumped(times: DataFrame, key: str, period: int) -> DataFrame:
     """Reports of hot keys: link each time to the one that asks next, then follow by doubling.
 
-    After k rounds the first 2^k reports of every key are known, so the rounds grow with the logarithm
-    of the longest chain. Joins are on (key, time), which spreads a hot key.
+    Level k links a time to the one 2^k steps later. Such a link is only followed from the first time
+    or from a time that 2^k steps lead to, and chains that meet stay together, so each level mostly is
+    much smaller than the one before. Joins are on (key, time), which spreads a hot key.
     """
     ensure_checkpoint_dir(times.sparkSession)
     points = times.groupBy(key, "at").agg(F.count(F.lit(1)).alias("n"))
@@ -117,26 +118,26 @@ def _jumped(times: DataFrame, key: str, period: int) -> DataFrame:
         .select(key, F.col("origin").alias("at"), "next", "total")
         .checkpoint()
     )
-    jump = links.select(key, "at", "next")
-    chain = links.groupBy(key).agg(F.min("at").alias("at"))
+    starts = links.groupBy(key).agg(F.min("at").alias("at")).checkpoint()
+    levels = [links.select(key, "at", "next").where(F.col("next").isNotNull())]
     while True:
-        landed = (
-            chain.join(jump, [key, "at"])
-            .where(F.col("next").isNotNull())
-            .select(key, F.col("next").alias("at"))
+        one = levels[-1]
+        ends = one.select(key, F.col("next").alias("at")).unionByName(starts).distinct()
+        second = one.select(key, F.col("at").alias("mid"), F.col("next").alias("last"))
+        two = (
+            ends.join(one, [key, "at"])
+            .withColumnRenamed("next", "mid")
+            .join(second, [key, "mid"])
+            .select(key, "at", F.col("last").alias("next"))
             .checkpoint()
         )
-        if landed.isEmpty():
+        if two.isEmpty():
             break
+        levels.append(two)
+    chain = starts
+    for level in reversed(levels):
+        landed = chain.join(level, [key, "at"]).select(key, F.col("next").alias("at"))
         chain = chain.unionByName(landed).checkpoint()
-        further = jump.select(key, F.col("at").alias("next"), F.col("next").alias("after"))
-        jump = (
-            jump.where(F.col("next").isNotNull())
-            .join(further, [key, "next"])
-            .where(F.col("after").isNotNull())
-            .select(key, "at", F.col("after").alias("next"))
-            .checkpoint()
-        )
     return chain.join(links, [key, "at"]).select(
         key, (F.col("at") + period).alias("fire_at"), "total"
     )
