@@ -62,7 +62,7 @@ def test_neighbours(spark, keys, reverse):
 
 def test_segments_are_bounded_and_ordered(spark, tiny_segments):
     df = spark.range(1000).select((F.col("id") * 0).alias("k"), "id")
-    cut = segmented(df, ["k"], "id").frame
+    cut = segmented(df, ["k"], ["id"]).frame
     sizes = cut.groupBy("__segment").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
     found = [tuple(r) for r in sizes.orderBy("__segment").select("n", "lo", "hi").collect()]
     assert max(n for n, _, _ in found) <= 14
@@ -78,7 +78,7 @@ def test_sampled_hot_keys(spark):
     try:
         hot = hot_keys(df, ["k"])
         assert [r.k for r in hot] == [0] and 60_000 < hot[0]["__rows"] < 150_000
-        cut = segmented(df, ["k"], "id")
+        cut = segmented(df, ["k"], ["id"])
         sizes = [r["count"] for r in cut.frame.where("k = 0").groupBy("__segment").count().collect()]
         assert sum(sizes) == 100_000 and len(sizes) > 10 and max(sizes) < 15_000
         split = running(df, ["k"], ["id"], n=total(F.lit(1)))
@@ -90,7 +90,7 @@ def test_sampled_hot_keys(spark):
 def test_scans_share_one_shuffle(spark, tiny_segments):
     """A forward scan, a backward scan and a look back over cut rows shuffle the rows once."""
     df = skewed(spark)
-    cut = segmented(df, ["k"], "ts")
+    cut = segmented(df, ["k"], ["ts", "id"])
     once = extend(cut, ["k"], ["ts", "id"], n=total(F.lit(1)))
     both_ways = extend(once, ["k"], ["ts", "id"], reverse=True, m=total(F.lit(1)))
     out = look_back(both_ways, ["k"], ["ts", "id"], {"p": (F.col("v"), 1)}).plain()
@@ -100,3 +100,12 @@ def test_scans_share_one_shuffle(spark, tiny_segments):
            if "Exchange hashpartitioning(k" in line and "__segment" in line]
     left_most = min(len(line) - len(line.lstrip(" :+-|")) for line in big)
     assert sum(len(line) - len(line.lstrip(" :+-|")) == left_most for line in big) == 1
+
+
+def test_rows_of_one_time_are_parted(spark, tiny_segments):
+    df = spark.range(300).select(F.lit("k").alias("k"), F.lit(5).alias("ts"), "id").repartition(4)
+    cut = segmented(df, ["k"], ["ts", "id"])
+    sizes = [r["count"] for r in cut.frame.groupBy("__segment").count().collect()]
+    assert len(sizes) > 20 and max(sizes) <= 14
+    counted = running(df, ["k"], ["ts", "id"], n=total(F.lit(1)))
+    assert rows(counted, "id", "n") == [(i, i + 1) for i in range(300)]

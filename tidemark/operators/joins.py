@@ -112,7 +112,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str)
         l.where("__hot").withColumn("side", F.lit("left")).unionByName(r.where("__hot").withColumn("side", F.lit("right")))
     ).drop("__hot")
     on_left, on_right = (F.when(F.col("side") == s, F.col(ts)) for s in ("left", "right"))
-    cut, order = segmented(tagged, [key], ts), [ts, "side"]
+    order = [ts, "side"]
+    cut = segmented(tagged, [key], order)
     behind = extend(cut, [key], order, __l0=highest(on_left), __r0=highest(on_right))
     around = extend(behind, [key], order, reverse=True, __l1=lowest(on_left), __r1=lowest(on_right)).plain()
     is_left = F.col("side") == "left"

@@ -28,7 +28,7 @@ def event_timers(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
 def ttl_count(df: DataFrame, key: str, ts: str, tie: str, ttl: str) -> DataFrame:
     """Rows of the key so far, where a pause of ``ttl`` or more forgets the earlier ones."""
     order = [ts, tie]
-    cut = segmented(df, [key], ts)
+    cut = segmented(df, [key], order)
     placed = extend(
         cut, [key], order, __nth=total(F.lit(1)), __last=highest(F.col(ts), before=True)
     )
@@ -110,7 +110,7 @@ def _jumped(times: DataFrame, key: str, period: int) -> DataFrame:
     # A probe stands at its report's time, after the rows of that time.
     line = data.unionByName(probes)
     order = ["at", "probe"]
-    counted = extend(segmented(line, [key], "at"), [key], order, total=total(F.col("n")))
+    counted = extend(segmented(line, [key], order), [key], order, total=total(F.col("n")))
     later = lowest(F.when(F.col("probe") == 0, F.col("at")), before=True)
     linked = extend(counted, [key], order, reverse=True, next=later).plain()
     links = (

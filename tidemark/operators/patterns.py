@@ -38,7 +38,7 @@ def repeated(df: DataFrame, key: str, order: list[str], condition: Column, times
     The row itself meets it, and the last row before it that does not is ``times`` rows back or more:
     the run is measured by position, so ``times`` may be any number.
     """
-    cut = segmented(df, [key], order[0])
+    cut = segmented(df, [key], order)
     placed = extend(cut, [key], order, __nth=total(F.lit(1)))
     broken = F.when(condition, F.lit(None)).otherwise(F.col("__nth"))
     runs = extend(placed, [key], order, __broken=highest(broken))

@@ -79,7 +79,7 @@ def extend(
 ) -> Segments:
     """Add running aggregates per key in the given order (descending if ``reverse``).
 
-    ``order`` must be a total order within a key, and start with the column the segments are cut on.
+    ``order`` is what the segments are cut on; it must be a total order within a key.
     """
     rows = segments.frame
     if not segments.count:
@@ -150,11 +150,11 @@ def running(
     **columns: Running,
 ) -> DataFrame:
     """``extend`` on rows that are not cut yet. ``hot`` names the hot keys if they are known."""
-    return extend(segmented(df, keys, order[0], hot), keys, order, reverse, **columns).plain()
+    return extend(segmented(df, keys, order, hot), keys, order, reverse, **columns).plain()
 
 
 def neighbours(
     df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[Column, int]], reverse: bool = False
 ) -> DataFrame:
     """``look_back`` on rows that are not cut yet."""
-    return look_back(segmented(df, keys, order[0]), keys, order, columns, reverse).plain()
+    return look_back(segmented(df, keys, order), keys, order, columns, reverse).plain()

@@ -93,16 +93,18 @@ def mark_hot(df: DataFrame, keys: list[str], hot: list[Row], name: str) -> DataF
     return joined.withColumn(name, F.coalesce(name, F.lit(False))).drop(*[f"__key_{k}" for k in keys])
 
 
-def sketchable(df: DataFrame, column: str) -> Column:
-    """The order column in a form that quantile sketches take and that survives the driver."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
-    return F.col(column)
+def order_value(df: DataFrame, order: list[str]) -> Column:
+    """The order columns as one comparable value that survives a trip to the driver."""
+    zoned = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    parts = [F.unix_micros(c) if c in zoned else F.col(c) for c in order]
+    return parts[0] if len(parts) == 1 else F.struct(*[p.alias(c) for p, c in zip(parts, order)])
 
 
-def segmented(df: DataFrame, keys: list[str], order: str, hot: list[Row] | None = None) -> Segments:
-    """``df`` with hot keys cut along ``order``. ``hot`` saves the search where they are known already."""
+def segmented(df: DataFrame, keys: list[str], order: list[str], hot: list[Row] | None = None) -> Segments:
+    """``df`` with hot keys cut along ``order``. ``hot`` saves the search where they are known already.
+
+    Cuts are made in the full order, so even rows that share one time can be parted.
+    """
     hot = hot_keys(df, keys) if hot is None else hot
     if not hot:
         return Segments(df, 0)
@@ -112,7 +114,7 @@ def segmented(df: DataFrame, keys: list[str], order: str, hot: list[Row] | None
     else:
         cut = df.withColumn(CUTS, cuts.scalar())
     # A binary search, written as a fold: how many cut points are <= the value.
-    value = sketchable(df, order)
+    value = order_value(df, order)
     powers = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length() + 1))])
     found = F.aggregate(
         powers,
@@ -125,7 +127,7 @@ def segmented(df: DataFrame, keys: list[str], order: str, hot: list[Row] | None
 
 
 def _cut_points(
-    df: DataFrame, keys: list[str], order: str, hot: list[Row]
+    df: DataFrame, keys: list[str], order: list[str], hot: list[Row]
 ) -> tuple[DataFrame, int, int]:
     """The hot keys' cut points as a constant table, their segments in all, and the longest list.
 
@@ -136,7 +138,7 @@ def _cut_points(
     for r in hot:
         parts = min(ceil(r[ROWS] / target), MAX_SEGMENTS_PER_KEY)
         plan.append((*[r[k] for k in keys], parts, min(1.0, SAMPLES_PER_SEGMENT * parts / r[ROWS])))
-    values = df.select(*keys, sketchable(df, order).alias("__value"))
+    values = df.select(*keys, order_value(df, order).alias("__value"))
     if keys:
         extra = [T.StructField("__parts", T.IntegerType()), T.StructField("__share", T.DoubleType())]
         named = values.join(F.broadcast(key_table(df, keys, plan, extra)), same_key(keys))
