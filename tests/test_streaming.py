@@ -223,3 +223,39 @@ def test_union_watermark_is_the_lowest(spark, tmp_path):
     counts = windows.tumbling_count(parts[0].unionByName(parts[1]), "ts", "1 second", ["k"])
     closed = run(counts, "union", tmp_path)
     assert rows(closed, "k", ms("window_start"), "cnt") == [("a", 1000, 1), ("b", 1000, 1)]
+
+
+def test_rule_matching_on_a_stream(spark, tmp_path):
+    data = [("Alice", "login"), ("Alice", "pay"), ("Bob", "login"), ("Bob", "buy"), ("Alice", "buy")]
+    stream = stream_of(spark, replay(tmp_path, data, per_file=2), "u string, a string")
+    pairs = processors.with_state(
+        stream, "u", processors.PreviousValue("u", "arrival", "a"), "u string, arrival bigint, action1 string, action2 string"
+    )
+    rules = spark.createDataFrame([("login", "pay"), ("login", "buy")], "action1 string, action2 string")
+    out = run(pairs.join(F.broadcast(rules), ["action1", "action2"]), "rules", tmp_path)
+    assert rows(out, "arrival", "u", "action1", "action2") == [(2, "Alice", "login", "pay"), (4, "Bob", "login", "buy")]
+
+
+def test_followed_by_on_a_stream(spark, tmp_path):
+    data = [("o1", "create", 1000), ("o2", "create", 2000), ("o1", "modify", 10_000), ("o1", "pay", 60_000),
+            ("o3", "pay", 24 * MIN), ("o3", "create", 10 * MIN), ("o4", "create", 30 * MIN), ("o4", "pay", 45 * MIN)]
+    data += [("end", "x", FAR), ("end", "x", FAR + 1), ("end", "x", FAR + 2), ("end", "x", FAR + 3)]
+    stream = with_time(stream_of(spark, replay(tmp_path, data, per_file=2), "o string, kind string, ms bigint"), "15 minutes")
+    out = processors.with_state(
+        stream, "o", processors.FollowedBy("o", "ms", "kind", "create", "pay", 15 * MIN),
+        "o string, begin_ms bigint, end_ms bigint, status string", "EventTime",
+    )
+    assert rows(run(out, "followed", tmp_path), "o", "end_ms", "status") == [
+        ("o1", 60_000, "matched"), ("o2", None, "timeout"), ("o3", 24 * MIN, "matched"), ("o4", None, "timeout"),
+    ]
+
+
+def test_regular_join_on_a_stream(spark, tmp_path):
+    sides = []
+    for name, data in (("l", [("a", 1000), ("b", 2000)]), ("r", [("a", 3000), ("b", 4000), ("a", 5000)])):
+        stream = stream_of(spark, replay(tmp_path, data, name), "k string, ms bigint")
+        sides.append(stream.withColumn("ts", F.timestamp_millis("ms")).select("k", "ts"))
+    out = run(joins.regular_join(*sides, "k", "ts"), "regular", tmp_path)
+    assert rows(out, "k", ms("left_ts"), ms("right_ts"), "last") == [
+        ("a", 1000, 3000, "right"), ("a", 1000, 5000, "right"), ("b", 2000, 4000, "right"),
+    ]

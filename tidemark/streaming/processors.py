@@ -171,6 +171,84 @@ class TableMachine(StatefulProcessor):
         pass
 
 
+class PreviousValue(StatefulProcessor):
+    """Each row's value with the one before it of the same key, in arrival order.
+
+    Join the pairs with a rule table to detect two-step sequences on a stream.
+    """
+
+    def __init__(self, key: str, arrival: str, value: str) -> None:
+        self.key, self.arrival, self.value = key, arrival, value
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", TEXT)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        batch = _joined(rows, self.arrival)
+        values = batch[self.value].tolist()
+        before = [self.last.get()[0] if self.last.exists() else None, *values[:-1]]
+        self.last.update((values[-1],))
+        pairs = pd.DataFrame({self.arrival: batch[self.arrival].to_numpy(), "action1": before, "action2": values})
+        pairs.insert(0, self.key, key[0])
+        yield pairs.dropna(subset=["action1"])
+
+    def close(self) -> None:
+        pass
+
+
+class FollowedBy(StatefulProcessor):
+    """Each ``begin`` row with the key's next ``end`` row, if that comes less than ``within_ms`` later.
+
+    Rows wait until the watermark reaches them, so they are matched in event-time order even if they
+    came out of order. A begin row whose time runs out is reported as a timeout.
+    """
+
+    def __init__(self, key: str, millis: str, kind: str, begin: str, end: str, within_ms: int) -> None:
+        self.key, self.millis, self.kind = key, millis, kind
+        self.begin, self.end, self.within = begin, end, within_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.begins = handle.getMapState("begins", LONG, LONG)
+        self.ends = handle.getMapState("ends", LONG, LONG)
+        self.waiting = handle.getMapState("waiting", LONG, LONG)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            for kind, state in ((self.begin, self.begins), (self.end, self.ends)):
+                for at, more in batch.loc[batch[self.kind] == kind, self.millis].value_counts().items():
+                    known = state.getValue((int(at),))[0] if state.containsKey((int(at),)) else 0
+                    state.updateValue((int(at),), (known + int(more),))
+                    self.handle.registerTimer(int(at))
+        yield self._out(key, [])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        out = []
+        if self.waiting.containsKey((now - self.within,)):
+            out += [(now - self.within, None, "timeout")] * self.waiting.getValue((now - self.within,))[0]
+            self.waiting.removeKey((now - self.within,))
+        if self.ends.containsKey((now,)):
+            for at, number in sorted((k[0], v[0]) for k, v in self.waiting.iterator()):
+                out += [(at, now, "matched")] * number
+                self.waiting.removeKey((at,))
+            self.ends.removeKey((now,))
+        if self.begins.containsKey((now,)):
+            self.waiting.updateValue((now,), self.begins.getValue((now,)))
+            self.begins.removeKey((now,))
+            self.handle.registerTimer(now + self.within)
+        yield self._out(key, out)
+
+    def _out(self, key: Any, found: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(found, columns=["begin_ms", "end_ms", "status"])
+        frame["end_ms"] = frame["end_ms"].astype("Int64")
+        frame.insert(0, self.key, key[0])
+        return frame
+
+    def close(self) -> None:
+        pass
+
+
 # Three failures in a row alert, and so does every further one; a success starts over.
 FAILURE_TABLE = {
     ("initial", "fail"): ("s1", False),
