@@ -45,7 +45,17 @@ def test_window_cogroup(spark, chunk):
     assert found == {("a", 0): ([1, 2], [3, 4]), ("b", 0): ([1, 2], [3, 4]), ("a", 5000): ([], [6])}
 
 
-def test_interval_join(spark, cut):
+@pytest.fixture
+def crowded(monkeypatch, request):
+    """Joins take the route for large keys when the limit is one row."""
+    monkeypatch.setattr(joins, "PAIR_ROWS", request.param)
+
+
+both_routes = pytest.mark.parametrize("crowded", [2000, 1], indirect=True)
+
+
+@both_routes
+def test_interval_join(spark, crowded):
     left = keyed(spark, [("o2", 5000), ("o3", 20000), ("o4", 20000)])
     right = keyed(spark, [("o2", 3000), ("o2", 15000), ("o2", 15001), ("o3", 23000), ("o3", 30000),
                           ("o4", 15000), ("o4", 15001), ("o4", 14999), ("o3", 30001)])
@@ -57,29 +67,33 @@ def test_interval_join(spark, cut):
 
 def random_sides(spark, seed):
     r = random.Random(seed)
-    make = lambda n: [(r.choice(["hot", "hot", "x", "y", f"c{r.randrange(9)}"]), r.randrange(100_000)) for _ in range(n)]
+    make = lambda n: [(r.choice(["hot", "hot", "x", None, f"c{r.randrange(9)}"]), r.randrange(100_000)) for _ in range(n)]
     return make(120), make(150)
 
 
-def test_interval_join_random(spark, cut):
+@both_routes
+def test_interval_join_random(spark, crowded):
     l, r = random_sides(spark, 4)
-    expected = sorted((k, a, b) for k, a in l for j, b in r if j == k and a - 2000 <= b <= a + 7000)
+    expected = sorted((k, a, b) for k, a in l for j, b in r if j == k and k is not None and a - 2000 <= b <= a + 7000)
     assert pairs(joins.interval_join(keyed(spark, l), keyed(spark, r), "k", "ts", "2 seconds", "7 seconds")) == expected
 
 
-def test_reconcile(spark, cut):
+@both_routes
+def test_reconcile(spark, crowded, cut):
     app = keyed(spark, [("order-1", 1000), ("order-2", 2000)])
     bank = keyed(spark, [("order-1", 3000), ("order-3", 4000)])
     out = joins.reconcile(app, bank, "k", "ts", "5 seconds")
     assert rows(out, "k", "status") == [("order-1", "matched"), ("order-2", "missing_right"), ("order-3", "missing_left")]
 
 
-def test_reconcile_random(spark, cut):
+@both_routes
+def test_reconcile_random(spark, crowded, cut):
     l, r = random_sides(spark, 6)
     near = lambda a, b: abs(a - b) <= 3000
-    expected = [(k, a, b, "matched") for k, a in l for j, b in r if j == k and near(a, b)]
-    expected += [(k, a, None, "missing_right") for k, a in l if not any(j == k and near(a, b) for j, b in r)]
-    expected += [(k, None, b, "missing_left") for k, b in r if not any(j == k and near(a, b) for j, a in l)]
+    same = lambda j, k: j == k and k is not None
+    expected = [(k, a, b, "matched") for k, a in l for j, b in r if same(j, k) and near(a, b)]
+    expected += [(k, a, None, "missing_right") for k, a in l if not any(same(j, k) and near(a, b) for j, b in r)]
+    expected += [(k, None, b, "missing_left") for k, b in r if not any(same(j, k) and near(a, b) for j, a in l)]
     out = joins.reconcile(keyed(spark, l), keyed(spark, r), "k", "ts", "3 seconds")
     got = [tuple(x) for x in out.select("k", ms("left_ts"), ms("right_ts"), "status").collect()]
     key = lambda t: tuple(str(v) for v in t)

@@ -1,8 +1,8 @@
 """Joins of two event frames.
 
 No join here forces a physical form: sort-merge with adaptive skew splitting is left to Spark. Where a
-time range limits the pairs, hot keys are cut into time slots so that the range, not the key alone,
-decides which rows meet.
+time range limits the pairs and keys are large, rows also meet on time slots, so that the range, not
+the key alone, decides which rows are compared.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import duration_micros, interval, micros, window_start
 from tidemark.plans.scans import extend, highest, lowest, neighbours, running, total
-from tidemark.plans.skew import hot_keys, mark_hot, segment_rows, segmented
+from tidemark.plans.skew import hot_keys, segment_rows, segmented
 
 RULES_BROADCAST = 100_000
+PAIR_ROWS = 2_000
 
 
 def _labelled(df: DataFrame, side: str) -> DataFrame:
@@ -56,13 +57,9 @@ def regular_join(left: DataFrame, right: DataFrame, key: str, arrival: str) -> D
     return _merge_key(joined.withColumn("last", later), key)
 
 
-def _both_hot(left: DataFrame, right: DataFrame, key: str) -> list:
-    """Keys that are hot on either side, each once."""
-    found = {}
-    for df in (left, right):
-        for row in hot_keys(df.where(F.col(key).isNotNull()), [key]):
-            found[row[key]] = row
-    return list(found.values())
+def _crowded(left: DataFrame, right: DataFrame, key: str) -> bool:
+    """Whether some key has over PAIR_ROWS rows on a side, so that comparing all its rows is too much."""
+    return any(hot_keys(df.where(F.col(key).isNotNull()), [key], PAIR_ROWS) for df in (left, right))
 
 
 def interval_join(
@@ -70,70 +67,61 @@ def interval_join(
 ) -> DataFrame:
     """Pairs with the same key and right.ts in [left.ts - before, left.ts + after], both inclusive.
 
-    Rows of hot keys also meet on time slots as wide as the interval: a left row goes to the two or
-    three slots its interval touches, a right row to its own, so each pair is still found once.
+    With small keys that is a join on the key. Otherwise rows also meet on time slots as wide as the
+    interval: a left row goes to the slots its interval touches (two, or one), a right row to its own.
+    Each pair is still found once, rows far apart are never compared, and a hot key is spread out.
     """
-    hot = _both_hot(left, right, key)
     lt, rt = F.col(f"left_{ts}"), F.col(f"right_{ts}")
     near = (rt >= lt - interval(before)) & (rt <= lt + interval(after))
-    if not hot:
-        joined = _labelled(left, "left").join(_labelled(right, "right"), _same(key) & near)
-        return _merge_key(joined, key)
+    l, r = _labelled(left, "left"), _labelled(right, "right")
+    if not _crowded(left, right, key):
+        return _merge_key(l.join(r, _same(key) & near), key)
     width = F.lit(max(duration_micros(before) + duration_micros(after), 1))
     low = F.floor((micros(lt) - F.lit(duration_micros(before))) / width)
     high = F.floor((micros(lt) + F.lit(duration_micros(after))) / width)
-    l = _labelled(mark_hot(left, [key], hot, "__hot"), "left").withColumn(
-        "__slot",
-        F.explode(
-            F.when(F.col("left___hot"), F.sequence(low, high)).otherwise(F.array(F.lit(0).cast("bigint")))
-        ),
-    )
-    r = _labelled(mark_hot(right, [key], hot, "__hot"), "right").withColumn(
-        "__at", F.when(F.col("right___hot"), F.floor(micros(rt) / width)).otherwise(F.lit(0))
-    )
+    l = l.withColumn("__slot", F.explode(F.sequence(low, high)))
+    r = r.withColumn("__at", F.floor(micros(rt) / width))
     joined = l.join(r, _same(key) & (F.col("__slot") == F.col("__at")) & near)
-    return _merge_key(joined.drop("__slot", "__at", "left___hot", "right___hot"), key)
+    return _merge_key(joined.drop("__slot", "__at"), key)
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str) -> DataFrame:
     """(key, left_ts, right_ts, status): pairs at most ``within`` apart, and each row without one.
 
-    Cold keys take one full outer join. A full outer join cannot be split by key, so rows of hot keys
+    With small keys that is one full outer join. Such a join cannot split a key, so otherwise rows
     first learn, from the nearest other-side rows before and after them, whether a partner exists;
-    those without are reported and the rest take the interval join.
+    those without are reported and the rest take the interval join. Batch or streaming.
     """
     l, r = left.select(key, ts), right.select(key, ts)
-    hot = _both_hot(l, r, key)
-    if not hot:
+    if not _crowded(l, r, key):
         return _outer(l, r, key, ts, within)
-    l, r = mark_hot(l, [key], hot, "__hot"), mark_hot(r, [key], hot, "__hot")
-    cold = _outer(l.where(~F.col("__hot")).drop("__hot"), r.where(~F.col("__hot")).drop("__hot"), key, ts, within)
-    tagged = (
-        l.where("__hot").withColumn("side", F.lit("left")).unionByName(r.where("__hot").withColumn("side", F.lit("right")))
-    ).drop("__hot")
+    tagged = l.withColumn("side", F.lit("left")).unionByName(r.withColumn("side", F.lit("right")))
     on_left, on_right = (F.when(F.col("side") == s, F.col(ts)) for s in ("left", "right"))
     order = [ts, "side"]
-    cut = segmented(tagged, [key], order)
-    behind = extend(cut, [key], order, __l0=highest(on_left), __r0=highest(on_right))
-    around = extend(behind, [key], order, reverse=True, __l1=lowest(on_left), __r1=lowest(on_right)).plain()
+    behind = extend(
+        segmented(tagged, [key], order), [key], order, __l0=highest(on_left), __r0=highest(on_right)
+    )
+    around = extend(behind, [key], order, reverse=True, __l1=lowest(on_left), __r1=lowest(on_right))
     is_left = F.col("side") == "left"
     back = F.when(is_left, F.col("__r0")).otherwise(F.col("__l0"))
     ahead = F.when(is_left, F.col("__r1")).otherwise(F.col("__l1"))
-    gap = interval(within)
-    partner = F.coalesce(back >= F.col(ts) - gap, F.lit(False)) | F.coalesce(ahead <= F.col(ts) + gap, F.lit(False))
-    judged = around.select(key, ts, "side", partner.alias("__met"))
-    none = F.lit(None).cast(left.schema[ts].dataType)
+    close = (back >= F.col(ts) - interval(within), ahead <= F.col(ts) + interval(within))
+    met = F.coalesce(close[0], F.lit(False)) | F.coalesce(close[1], F.lit(False))
+    # A row without a key meets no other.
+    judged = around.plain().select(key, ts, "side", (met & F.col(key).isNotNull()).alias("__met"))
     missed = judged.where(~F.col("__met")).select(
         key,
         F.when(is_left, F.col(ts)).alias("left_ts"),
-        F.when(~is_left, F.col(ts)).otherwise(none).alias("right_ts"),
+        F.when(~is_left, F.col(ts)).alias("right_ts"),
         F.when(is_left, "missing_right").otherwise("missing_left").alias("status"),
     )
-    met = judged.where("__met")
-    pairs = interval_join(
-        met.where(is_left).select(key, ts), met.where(~is_left).select(key, ts), key, ts, within, within
-    ).select(key, F.col(f"left_{ts}").alias("left_ts"), F.col(f"right_{ts}").alias("right_ts"), F.lit("matched").alias("status"))
-    return cold.unionByName(missed).unionByName(pairs)
+    met_left, met_right = (
+        judged.where(F.col("__met") & (F.col("side") == s)).select(key, ts) for s in ("left", "right")
+    )
+    pairs = interval_join(met_left, met_right, key, ts, within, within).select(
+        key, F.col(f"left_{ts}").alias("left_ts"), F.col(f"right_{ts}").alias("right_ts"), F.lit("matched").alias("status")
+    )
+    return missed.unionByName(pairs)
 
 
 def _outer(l: DataFrame, r: DataFrame, key: str, ts: str, within: str) -> DataFrame:
