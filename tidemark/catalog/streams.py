@@ -29,7 +29,7 @@ def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lines")
     writers.run_to_end(writers.text_files(lines, path, scratch_path(spark, "lines-checkpoint")))
     fields = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "ts": "timestamp_ntz"}
-    return files.parse_delimited(files.text_lines(spark, path), fields)
+    return files.parse_delimited(files.text_lines(spark, path), fields, keep_bad=True)
 
 
 @query("stream_group_count", "SELECT user_id, count(*) AS cnt FROM events GROUP BY user_id")

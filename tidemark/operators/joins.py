@@ -119,7 +119,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str)
         judged.where(F.col("__met") & (F.col("side") == s)).select(key, ts) for s in ("left", "right")
     )
     pairs = interval_join(met_left, met_right, key, ts, within, within).select(
-        key, F.col(f"left_{ts}").alias("left_ts"), F.col(f"right_{ts}").alias("right_ts"), F.lit("matched").alias("status")
+        key,
+        F.col(f"left_{ts}").alias("left_ts"),
+        F.col(f"right_{ts}").alias("right_ts"),
+        F.lit("matched").alias("status"),
     )
     return missed.unionByName(pairs)
 

@@ -105,7 +105,11 @@ def _jumped(times: DataFrame, key: str, period: int) -> DataFrame:
     points = times.groupBy(key, "at").agg(F.count(F.lit(1)).alias("n"))
     data = points.withColumn("probe", F.lit(0)).withColumn("origin", F.lit(None).cast("bigint"))
     probes = points.select(
-        key, (F.col("at") + period).alias("at"), F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("probe"), F.col("at").alias("origin")
+        key,
+        (F.col("at") + period).alias("at"),
+        F.lit(0).cast("bigint").alias("n"),
+        F.lit(1).alias("probe"),
+        F.col("at").alias("origin"),
     )
     # A probe stands at its report's time, after the rows of that time.
     line = data.unionByName(probes)

@@ -33,7 +33,9 @@ def emit_times(df: DataFrame, times: Column) -> DataFrame:
     return df.select("*", F.explode(copies).alias("__copy")).drop("__copy")
 
 
-def tagged_outputs(df: DataFrame, outputs: dict[str, tuple[Column, Column]], tag: str = "tag", value: str = "value") -> DataFrame:
+def tagged_outputs(
+    df: DataFrame, outputs: dict[str, tuple[Column, Column]], tag: str = "tag", value: str = "value"
+) -> DataFrame:
     """Several outputs of one pass: a row appears under each tag whose condition it meets."""
     tagged = [
         F.when(condition, F.struct(F.lit(name).alias(tag), shape.alias(value)))
@@ -42,7 +44,9 @@ def tagged_outputs(df: DataFrame, outputs: dict[str, tuple[Column, Column]], tag
     return df.select(F.inline(F.array_compact(F.array(*tagged))))
 
 
-def split_outputs(df: DataFrame, side: dict[str, tuple[Column, list[Column]]]) -> tuple[DataFrame, dict[str, DataFrame]]:
+def split_outputs(
+    df: DataFrame, side: dict[str, tuple[Column, list[Column]]]
+) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The whole main frame, and one frame per side output with its own filter and columns."""
     return df, {name: df.where(cond).select(*cols) for name, (cond, cols) in side.items()}
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.session import scratch_path
+from tidemark.session import ROCKSDB, scratch_path
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -133,8 +133,12 @@ def parquet_batches(path: str) -> BatchWriter:
 
 
 def collect_updates(stream: DataFrame, name: str, mode: str = "update", **options: Any) -> DataFrame:
-    """Run a stream to its end into batch folders; the rows come back with their ``batch``."""
+    """Run a stream to its end into batch folders; the rows come back with their ``batch``.
+
+    State is kept in RocksDB, so that it may outgrow the executors' memory.
+    """
     spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path = scratch_path(spark, name)
     writer = (
         stream.writeStream.outputMode(mode)

@@ -14,7 +14,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def text_line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+def text_line_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
     """Lines of files as they appear in a folder."""
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
@@ -25,7 +25,7 @@ def csv_rows(spark: SparkSession, path: str, schema: str, stream: bool = False)
     return reader.schema(schema).csv(path, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
 
 
-def parquet_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
     """A parquet table as a stream, at most ``files_per_batch`` files per micro-batch."""
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)

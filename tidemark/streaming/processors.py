@@ -258,7 +258,12 @@ FAILURE_TABLE = {
 
 
 def with_state(
-    stream: DataFrame, key: str, processor: StatefulProcessor, schema: str, time_mode: str = "None", mode: str = "append"
+    stream: DataFrame,
+    key: str,
+    processor: StatefulProcessor,
+    schema: str,
+    time_mode: str = "None",
+    mode: str = "append",
 ) -> DataFrame:
     """Run a processor per key. The session must use the RocksDB state store."""
     return stream.groupBy(key).transformWithStateInPandas(
