@@ -8,7 +8,7 @@ from conftest import rows
 from fixtures import EVENTS8, LATE, LOGINS, MIN, at, ms, numbered
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins, late, windows
+from tidemark.operators import joins, late, patterns, windows
 from tidemark.sinks import writers
 from tidemark.sources import files
 from tidemark.streaming import jobs, processors
@@ -259,3 +259,20 @@ def test_regular_join_on_a_stream(spark, tmp_path):
     assert rows(out, "k", ms("left_ts"), ms("right_ts"), "last") == [
         ("a", 1000, 3000, "right"), ("a", 1000, 5000, "right"), ("b", 2000, 4000, "right"),
     ]
+
+
+@pytest.mark.parametrize("segment_rows", ["1000000", "2"])
+def test_look_back_job_keeps_the_last_rows(spark, tmp_path, segment_rows):
+    kinds = ["fail", "fail", "ok", "fail", "fail", "fail", "fail", "fail", "ok", "fail", "fail", "fail"]
+    data = [("ab"[i % 2], kind) for i, kind in enumerate(k for k in kinds for _ in "ab")]
+    stream = stream_of(spark, replay(tmp_path, data, per_file=5), "k string, kind string")
+    alerts = lambda rows: patterns.alerts_by_arrival(rows, "k", "arrival", F.col("kind") == "fail")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    write = jobs.look_back_batches(alerts, writers.parquet_batches(out), state, "k", "arrival", 2)
+    spark.conf.set("spark.tidemark.segmentRows", segment_rows)
+    try:
+        writers.run_to_end(stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(write))
+    finally:
+        spark.conf.unset("spark.tidemark.segmentRows")
+    expected = rows(alerts(numbered(spark, data, "k string, kind string")), "k", "arrival")
+    assert len(expected) == 8 and rows(spark.read.parquet(out), "k", "arrival") == expected

@@ -7,7 +7,9 @@ batch n - 1 and replaces its own, so a batch that is run again gives the same re
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import interval, window_start
@@ -45,6 +47,29 @@ def buffering_batches(write: BatchWriter, state: str, arrival: list[str], size:
     return run
 
 
+def look_back_batches(
+    apply: Callable[[DataFrame], DataFrame], write: BatchWriter, state: str, key: str, arrival: str, depth: int
+) -> BatchWriter:
+    """Run an operator that looks at most ``depth`` rows of the key back, such as a strict pattern.
+
+    ``state`` keeps each key's last ``depth`` rows; they are put before the batch's rows. ``apply`` must
+    keep the ``arrival`` column, by which results of earlier batches are left out. Unlike a stateful
+    processor this splits hot keys.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
+        carried = _previous(batch.sparkSession, state, batch_id, schema)
+        rows = carried.unionByName(batch)
+        oldest = batch.agg(F.min(arrival)).scalar()
+        write(apply(rows).where(F.col(arrival) >= oldest), batch_id)
+        latest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(arrival)))
+        kept = rows.withColumn("__back", latest).where(F.col("__back") <= depth).drop("__back")
+        kept.write.mode("overwrite").parquet(batch_folder(state, batch_id))
+
+    return run
+
+
 def late_data_batches(
     results: BatchWriter,
     dropped: BatchWriter,

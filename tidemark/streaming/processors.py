@@ -20,7 +20,11 @@ TEXT = T.StructType([T.StructField("v", T.StringType())])
 
 
 def _joined(batches: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
-    """A key's rows of one micro-batch in order; the trigger's limits bound their number."""
+    """A key's rows of one micro-batch in order.
+
+    The trigger's limits must keep them few enough for a task; ``jobs.look_back_batches`` has no such
+    need where a bounded look back will do.
+    """
     return pd.concat(list(batches)).sort_values(order, kind="stable")
 
 
@@ -36,7 +40,10 @@ class PeriodicTotals(StatefulProcessor):
         self.pending = handle.getValueState("pending", LONG)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        at = _joined(rows, self.millis)[self.millis].to_numpy()
+        # Rows of a time are counted as they are read; only distinct times are held.
+        counts = pd.concat([batch.groupby(self.millis).size() for batch in rows])
+        counts = counts.groupby(level=0).sum().sort_index()
+        at, upto = counts.index.to_numpy(), np.concatenate(([0], np.cumsum(counts.to_numpy())))
         seen = self.count.get()[0] if self.count.exists() else 0
         due = self.pending.get()[0] if self.pending.exists() else None
         reports, low = [], 0
@@ -44,7 +51,7 @@ class PeriodicTotals(StatefulProcessor):
             if due is None:
                 due = int(at[low]) + self.period
             high = low + int(np.searchsorted(at[low:], due, side="right"))
-            seen += high - low
+            seen += int(upto[high] - upto[low])
             low = high
             if low < len(at):
                 reports.append((key[0], due, seen))
