@@ -78,3 +78,11 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4_000_000)
 
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+
+def hash_sample(rows: DataFrame, about: int, key: str = "doc_id") -> DataFrame:
+    """About ``about`` of the rows, those whose key hashes lowest; the same rows in every run, all if there are fewer."""
+    n = rows.count()
+    if n <= about:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1_000_000_000)) < int(1_000_000_000 * about / n))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, sharding
+from tidemark.llm import exact_dedup, language_id, packing, quality, sharding
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
+
+
+@register("op4_quality_score")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.quality_scores(docs, net, 0.3)
+
+
+@register("op10_language_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.train(docs)).select(
+        "doc_id",
+        language_id.held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
