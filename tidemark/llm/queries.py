@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, exact_dedup, language_id, license_scan, packing, quality, sharding
+from tidemark.llm import decontamination, exact_dedup, language_id, license_scan, ngram_join, packing, quality, sharding
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item in them, and which; all others are clean."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.benchmark_matches(documents(spark, sf_dir), items).select("doc_id", "item_id", "edits", "end_char")
+
+
+@register("op9_ngram_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, sf_dir), 80, 5)

@@ -98,7 +98,7 @@ def repeated_cells(parts: DataFrame, bits: int, depth: int) -> np.ndarray:
     out = np.zeros((depth, max(1, (1 << bits) // 8)), np.uint8)
     step = (1 << BLOCK_BITS) // 8
     merged = parts.repartition(F.col("line"), F.col("block")).mapInArrow(merge, "line int, block int, bits binary")
-    for r in merged.toLocalIterator():
+    for r in merged.collect():  # at most depth * 2 ** (bits - BLOCK_BITS) rows of 8 KB
         out[r["line"], r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
@@ -110,3 +110,69 @@ def met_twice(keys: np.ndarray, found: np.ndarray, bits: int) -> np.ndarray:
         at = cells(keys, line, bits)
         passed &= (found[line][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
     return passed
+
+
+COUNT_BITS = 22
+COUNT_TYPE = "block int, cells binary, counts binary, keys long"
+
+
+def count_parts(key_chunks: Iterator[np.ndarray], held: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Counts of keys met more than once among ``held`` neighbouring keys, by cell, as sparse blocks.
+
+    Rare keys, nearly all of them, leave nothing behind, so cells tell the frequent ones apart. ``keys`` counts all.
+    """
+    gathered, n = [], 0
+    for keys in key_chunks:
+        gathered.append(keys)
+        n += len(keys)
+        if n >= held:
+            yield _counts(np.concatenate(gathered))
+            gathered, n = [], 0
+    if n:
+        yield _counts(np.concatenate(gathered))
+
+
+def _counts(keys: np.ndarray) -> pa.RecordBatch:
+    ordered = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    counts = np.diff(np.append(first, len(ordered)))
+    again = counts > 1
+    at, counts = cells(ordered[first[again]], 0, COUNT_BITS), counts[again].astype("<u4")
+    order = np.argsort(at >> BLOCK_BITS, kind="stable")
+    at, counts = at[order], counts[order]
+    blocks = at >> BLOCK_BITS
+    edges = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))) if len(at) else np.empty(0, np.int64)
+    inner = (at & ((1 << BLOCK_BITS) - 1)).astype("<u2")
+    ends = np.append(edges[1:], len(at)) if len(at) else edges
+    rows = [(-1, b"", b"", len(keys))]
+    rows += [(int(blocks[a]), inner[a:b].tobytes(), counts[a:b].tobytes(), 0) for a, b in zip(edges, ends, strict=True)]
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.int64())],
+        names=["block", "cells", "counts", "keys"],
+    )
+
+
+def count_classes(parts: DataFrame) -> np.ndarray:
+    """For each of 2 ** COUNT_BITS cells the number of bits of its count: 4 MB, whatever the size of the data."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, at, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if block not in held:
+                    held[block] = np.zeros(1 << BLOCK_BITS, np.int64)
+                np.add.at(held[block], np.frombuffer(at, "<u2"), np.frombuffer(counts, "<u4").astype(np.int64))
+        if held:
+            sizes = [np.where(v > 0, np.ceil(np.log2(v + 1)), 0).astype(np.uint8).tobytes() for v in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(sizes, pa.binary())], names=["block", "bits"])
+
+    out = np.zeros(1 << COUNT_BITS, np.uint8)
+    step = 1 << BLOCK_BITS
+    for r in parts.filter("block >= 0").repartition("block").mapInArrow(merge, "block int, bits binary").collect():
+        out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def classes_of(keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return classes[cells(keys, 0, COUNT_BITS)]
