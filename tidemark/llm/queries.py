@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, exact_dedup, language_id, license_scan, ngram_join, packing, quality, sharding
+from tidemark.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, ngram_join, packing, quality, sharding, substring_dedup
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,43 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_ngram_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(documents(spark, sf_dir), 80, 5)
+
+
+@register("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, how many went as repeats of earlier ones, and a digest of what is left."""
+    return line_dedup.dedup_lines(documents(spark, sf_dir), 80, 5).select(
+        "doc_id",
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@register(
+    "op7_substring_dedup",
+    r"""
+    WITH split AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS words
+        FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS i FROM split)
+    ), later AS (
+        SELECT doc_id, i FROM (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS place FROM windows
+        ) WHERE place > 1
+    ), gone AS (
+        SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest(generate_series(0, 19)) AS k)
+    ), kept AS (
+        SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS text, count(*) AS n
+        FROM (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM split) w
+        ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i
+        GROUP BY w.doc_id
+    )
+    SELECT s.doc_id, len(s.words) AS n_words, len(s.words) - coalesce(k.n, 0) AS n_removed,
+           sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(documents(spark, sf_dir), 20).drop("kept")
