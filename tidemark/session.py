@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,18 +28,32 @@ def session(app: str = "tidemark", master: str | None = None, **conf: str) -> Sp
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
+    """This session's folder inside the one that all executors share, as the cluster names it.
 
-    Only a session without ``spark.checkpoint.dir`` (tests, a laptop) gets a temporary one,
-    which is then kept in the session so that every caller sees the same folder.
+    Without ``spark.checkpoint.dir`` a local session uses its warehouse folder; any other is refused, as
+    executors would each write to a disk of their own. The folder is removed when the driver ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.tidemark.scratch", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.tidemark.scratch", root)
-    return root.rstrip("/")
+    own = spark.conf.get("spark.tidemark.scratch", None)
+    if own:
+        return own
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+    own = f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    spark.conf.set("spark.tidemark.scratch", own)
+    atexit.register(_remove, spark, own)
+    return own
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone already
+        return
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
