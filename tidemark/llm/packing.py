@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ROW, batch_of, cut, ranked, text_slices, texts_of
 
 END_ID = 1
+#: Printable ASCII without letters, digits, blanks and the apostrophe, which may begin a token of letters.
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
 
 PIECES = pa.schema(
     [
@@ -35,45 +37,78 @@ class WordEncoder:
 
     For tokenizers that drop white space and never join characters across it: the ids of a text are then
     those of its words in a row. Words are cut at ASCII white space and lower-cased in ASCII, which the
-    tokenizer would do itself. The dictionary is emptied when it holds ``max_words``, so memory is bounded.
+    tokenizer would do itself. The dictionary takes no more
+    words once it holds ``max_words``, so memory is bounded; rarer words are then encoded when they are met.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000) -> None:
+    def __init__(self, path: str, max_words: int = 900_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.max_words = max_words
         self.ids: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        vocabulary = self.tokenizer.get_vocab()
+        #: Where the strings of special tokens begin; words with such a character are encoded whole.
+        self.special = {t.content[:1].encode() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, missing: set[bytes]) -> None:
-        stems: dict[bytes, tuple[bytes, bytes]] = {}
-        # A comma or full stop after a letter a-z is a token of its own, so the rest is looked up alone.
+    def _encode_together(self, words: list[str]) -> list[bytes]:
+        """Of words that are letters only: each has one token that ends a word, its last."""
+        out = []
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            ids = np.asarray(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) != len(part) or len(ends) and ends[-1] != 4 * len(ids):
+                out += self._encode(part)
+                continue
+            raw, first = ids.tobytes(), 0
+            for end in ends.tolist():
+                out.append(raw[first:end])
+                first = end
+        return out
+
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        known, new, special = self.ids, {}, self.special
+        stems: list[tuple[bytes, bytes, bytes]] = []
+        letters: dict[bytes, str] = {}
+        others: dict[bytes, str] = {}
         for word in missing:
-            if len(word) > 1 and word[-1:] in (b",", b".") and 97 <= word[-2] <= 122:
-                stems[word] = (word[:-1], word[-1:])
-        whole = missing - stems.keys()
-        for stem, mark in stems.values():
-            whole.update(w for w in (stem, mark) if w not in self.ids)
-        words = list(whole)
-        self.ids.update(zip(words, self._encode(words), strict=True))
-        for word, (stem, mark) in stems.items():
-            self.ids[word] = self.ids[stem] + self.ids[mark]
+            # The marks after a last letter a-z are tokens of their own, so both parts are looked up alone.
+            stem = b"" if any(c in word for c in special) else word.rstrip(MARKS)
+            if stem and len(stem) < len(word) and 97 <= stem[-1] <= 122:
+                mark = word[len(stem) :]
+                stems.append((word, stem, mark))
+                if mark not in known:
+                    others[mark] = mark.decode()
+                word = stem
+                if word in known:
+                    continue
+            text = word.decode("utf-8", "replace")
+            (letters if text.isalpha() else others)[word] = text
+        new.update(zip(letters, self._encode_together(list(letters.values())), strict=True))
+        new.update(zip(others, self._encode(list(others.values())), strict=True))
+        for word, stem, mark in stems:
+            new[word] = (new.get(stem) or known[stem]) + (new.get(mark) or known[mark])
+        return new
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         split = [t.lower().split() for t in texts]
-        if len(self.ids) > self.max_words:
-            self.ids.clear()
-        missing: set[bytes] = set()
-        for words in split:
-            missing.update(set(words).difference(self.ids))
-        if missing:
-            self._learn(missing)
-        for words in split:
-            yield np.frombuffer(b"".join(map(self.ids.__getitem__, words)), "<u4")
+        found = [list(map(self.ids.get, words)) for words in split]
+        gaps = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in found]
+        missing = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
+        new = self._learn(missing) if missing else {}
+        if len(self.ids) < self.max_words:
+            self.ids.update(new)
+        for words, ids, places in zip(split, found, gaps, strict=True):
+            for i in places:
+                ids[i] = new[words[i]]
+            yield np.frombuffer(b"".join(ids), "<u4")
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
