@@ -5,6 +5,7 @@ from conftest import rows
 from fixtures import LOGINS, MIN, at, ms, numbered
 from pyspark.sql import functions as F
 
+from tidemark.functions.aggregates import weighted_average
 from tidemark.operators import joins, keyed_state, patterns
 
 
@@ -45,17 +46,7 @@ def test_window_cogroup(spark, chunk):
     assert found == {("a", 0): ([1, 2], [3, 4]), ("b", 0): ([1, 2], [3, 4]), ("a", 5000): ([], [6])}
 
 
-@pytest.fixture
-def crowded(monkeypatch, request):
-    """Joins take the route for large keys when the limit is one row."""
-    monkeypatch.setattr(joins, "PAIR_ROWS", request.param)
-
-
-both_routes = pytest.mark.parametrize("crowded", [2000, 1], indirect=True)
-
-
-@both_routes
-def test_interval_join(spark, crowded):
+def test_interval_join(spark):
     left = keyed(spark, [("o2", 5000), ("o3", 20000), ("o4", 20000)])
     right = keyed(spark, [("o2", 3000), ("o2", 15000), ("o2", 15001), ("o3", 23000), ("o3", 30000),
                           ("o4", 15000), ("o4", 15001), ("o4", 14999), ("o3", 30001)])
@@ -71,23 +62,20 @@ def random_sides(spark, seed):
     return make(120), make(150)
 
 
-@both_routes
-def test_interval_join_random(spark, crowded):
+def test_interval_join_random(spark):
     l, r = random_sides(spark, 4)
     expected = sorted((k, a, b) for k, a in l for j, b in r if j == k and k is not None and a - 2000 <= b <= a + 7000)
     assert pairs(joins.interval_join(keyed(spark, l), keyed(spark, r), "k", "ts", "2 seconds", "7 seconds")) == expected
 
 
-@both_routes
-def test_reconcile(spark, crowded, cut):
+def test_reconcile(spark, cut):
     app = keyed(spark, [("order-1", 1000), ("order-2", 2000)])
     bank = keyed(spark, [("order-1", 3000), ("order-3", 4000)])
     out = joins.reconcile(app, bank, "k", "ts", "5 seconds")
     assert rows(out, "k", "status") == [("order-1", "matched"), ("order-2", "missing_right"), ("order-3", "missing_left")]
 
 
-@both_routes
-def test_reconcile_random(spark, crowded, cut):
+def test_reconcile_random(spark, cut):
     l, r = random_sides(spark, 6)
     near = lambda a, b: abs(a - b) <= 3000
     same = lambda j, k: j == k and k is not None
@@ -188,3 +176,42 @@ def test_ttl_count(spark, cut):
 def test_buffered(spark, cut):
     df = spark.range(25).withColumnRenamed("id", "arrival").repartition(3)
     assert rows(keyed_state.buffered(df, ["arrival"], 10)) == [(i, i // 10, i % 10) for i in range(20)]
+
+
+def test_cogroup_does_not_depend_on_settings(spark, tiny_segments):
+    side = keyed(spark, [("a", n) for n in range(40)])
+    out = joins.window_cogroup(side, side, "k", "ts", "5 seconds", "ts").collect()
+    assert len(out) == 1 and len(out[0]["left_items"]) == len(out[0]["right_items"]) == 40
+    items = joins.window_cogroup_items(side, side.limit(3), "k", "ts", "5 seconds", "ts")
+    found = rows(items, "side", "position", ms("ts"))
+    assert [r for r in found if r[0] == "left"] == [("left", n, n) for n in range(40)]
+    assert [r[1] for r in found if r[0] == "right"] == [0, 1, 2]
+
+
+def test_reconcile_null_times_and_keys(spark):
+    left = keyed(spark, [("a", 1000), (None, 1000)])
+    right = keyed(spark, [("a", 2000), (None, 1000)]).unionByName(
+        keyed(spark, [("a", 1)]).withColumn("ts", F.lit(None).cast("timestamp_ntz").cast(left.schema["ts"].dataType))
+    )
+    out = joins.reconcile(left, right, "k", "ts", "5 seconds")
+    assert sorted(r["status"] for r in out.collect()) == ["matched", "missing_left", "missing_left", "missing_right"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 8])
+def test_sequences_of_any_length(spark, tiny_segments, n):
+    df = keyed(spark, [("a", t) for t in range(40)])
+    out = patterns.strict_sequence(df, "k", ["ts"], [F.lit(True)] * n, "ts")
+    assert out.count() == 41 - n
+    assert len(out.columns) == n + 1
+
+
+def test_weighted_average_of_large_products(spark):
+    df = spark.sql("SELECT * FROM VALUES (4000000000L, 4000000000L), (2L, 4000000000L) AS t(v, w)")
+    assert df.agg(weighted_average(F.col("v"), F.col("w")).alias("x")).first()["x"] == 2_000_000_001
+
+
+def test_periodic_totals_without_times(spark, tiny_segments):
+    known = [("a", t * 1000) for t in range(30)]
+    odd = keyed(spark, [("a", 5)]).withColumn("ts", F.lit(None).cast(keyed(spark, [("a", 5)]).schema["ts"].dataType))
+    plain_rows = rows(keyed_state.periodic_totals(keyed(spark, known), "k", "ts", "5 seconds"))
+    assert rows(keyed_state.periodic_totals(keyed(spark, known).unionByName(odd), "k", "ts", "5 seconds")) == plain_rows

@@ -99,7 +99,7 @@ def test_partitioning(spark):
     placed = partitioning.with_partition(partitioning.by_partition_number(numbers, 2, F.col("v") % 2))
     assert rows(placed) == [(v, v % 2) for v in range(1, 9)]
     assert partitioning.rescaled(spark.range(0, 100, 1, 8), 2).rdd.getNumPartitions() == 2
-    assert partitioning.rescaled(spark.range(0, 100, 1, 2), 5).rdd.getNumPartitions() == 5
+    assert partitioning.rescaled(spark.range(0, 100, 1, 2), 5, widen=True).rdd.getNumPartitions() == 5
     sizes = rows(partitioning.partition_sizes(partitioning.round_robin(spark.range(1000), 4)))
     assert [p for p, _ in sizes] == [0, 1, 2, 3] and max(n for _, n in sizes) - min(n for _, n in sizes) <= 8
     assert partitioning.replicated(numbers, 3).groupBy("v").count().where("count = 3").count() == 8

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 def weighted_average(value: Column, weight: Column) -> Column:
     """``sum(value * weight) div sum(weight)`` as bigint; null when the weights sum to zero.
 
-    Sums are decimals, since a heavy group's sum may leave the bigint range.
+    Products and sums are decimals, since both may leave the bigint range.
     """
-    weighted = F.sum((value * weight).cast("decimal(20,0)"))
+    weighted = F.sum(value.cast("decimal(19,0)") * weight.cast("decimal(19,0)"))
     weights = F.sum(weight.cast("decimal(20,0)"))
     return F.call_function("div", weighted, F.nullif(weights, F.lit(0)))
 

@@ -12,10 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import duration_micros, interval, micros, window_start
 from tidemark.plans.scans import extend, highest, lowest, neighbours, running, total
-from tidemark.plans.skew import hot_keys, segment_rows, segmented
-
-RULES_BROADCAST = 100_000
-PAIR_ROWS = 2_000
+from tidemark.plans.skew import segmented
 
 
 def _labelled(df: DataFrame, side: str) -> DataFrame:
@@ -57,24 +54,19 @@ def regular_join(left: DataFrame, right: DataFrame, key: str, arrival: str) -> D
     return _merge_key(joined.withColumn("last", later), key)
 
 
-def _crowded(left: DataFrame, right: DataFrame, key: str) -> bool:
-    """Whether some key has over PAIR_ROWS rows on a side, so that comparing all its rows is too much."""
-    return any(hot_keys(df.where(F.col(key).isNotNull()), [key], PAIR_ROWS) for df in (left, right))
-
-
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, ts: str, before: str, after: str
 ) -> DataFrame:
     """Pairs with the same key and right.ts in [left.ts - before, left.ts + after], both inclusive.
 
-    With small keys that is a join on the key. Otherwise rows also meet on time slots as wide as the
-    interval: a left row goes to the slots its interval touches (two, or one), a right row to its own.
-    Each pair is still found once, rows far apart are never compared, and a hot key is spread out.
+    Stored rows also meet on time slots as wide as the interval: a left row goes to the slots its interval
+    touches (two, or one), a right row to its own. Each pair is still found once, rows far apart are never
+    compared, and a hot key is spread out. Streams join on the key, as a slot would hide the time bound of state.
     """
     lt, rt = F.col(f"left_{ts}"), F.col(f"right_{ts}")
     near = (rt >= lt - interval(before)) & (rt <= lt + interval(after))
     l, r = _labelled(left, "left"), _labelled(right, "right")
-    if not _crowded(left, right, key):
+    if left.isStreaming or right.isStreaming:
         return _merge_key(l.join(r, _same(key) & near), key)
     width = F.lit(max(duration_micros(before) + duration_micros(after), 1))
     low = F.floor((micros(lt) - F.lit(duration_micros(before))) / width)
@@ -88,12 +80,12 @@ def interval_join(
 def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str) -> DataFrame:
     """(key, left_ts, right_ts, status): pairs at most ``within`` apart, and each row without one.
 
-    With small keys that is one full outer join. Such a join cannot split a key, so otherwise rows
-    first learn, from the nearest other-side rows before and after them, whether a partner exists;
-    those without are reported and the rest take the interval join. Batch or streaming.
+    Stored rows first learn, from the nearest other-side rows before and after them, whether a partner exists;
+    those without are reported and the rest take the interval join, so no key is one task's work. Streams take a
+    full outer join. A row without a key or a time has no partner.
     """
     l, r = left.select(key, ts), right.select(key, ts)
-    if not _crowded(l, r, key):
+    if l.isStreaming or r.isStreaming:
         return _outer(l, r, key, ts, within)
     tagged = l.withColumn("side", F.lit("left")).unionByName(r.withColumn("side", F.lit("right")))
     on_left, on_right = (F.when(F.col("side") == s, F.col(ts)) for s in ("left", "right"))
@@ -108,7 +100,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str)
     close = (back >= F.col(ts) - interval(within), ahead <= F.col(ts) + interval(within))
     met = F.coalesce(close[0], F.lit(False)) | F.coalesce(close[1], F.lit(False))
     # A row without a key meets no other.
-    judged = around.plain().select(key, ts, "side", (met & F.col(key).isNotNull()).alias("__met"))
+    judged = around.plain().select(key, ts, "side", (met & F.col(key).isNotNull() & F.col(ts).isNotNull()).alias("__met"))
     missed = judged.where(~F.col("__met")).select(
         key,
         F.when(is_left, F.col(ts)).alias("left_ts"),
@@ -130,9 +122,14 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, ts: str, within: str)
 def _outer(l: DataFrame, r: DataFrame, key: str, ts: str, within: str) -> DataFrame:
     lt, rt = F.col(f"left_{ts}"), F.col(f"right_{ts}")
     near = (rt >= lt - interval(within)) & (rt <= lt + interval(within))
-    joined = _labelled(l, "left").join(_labelled(r, "right"), _same(key) & near, "full_outer")
+    there = F.lit(True)
+    joined = (
+        _labelled(l, "left")
+        .withColumn("__left", there)
+        .join(_labelled(r, "right").withColumn("__right", there), _same(key) & near, "full_outer")
+    )
     status = (
-        F.when(rt.isNull(), "missing_right").when(lt.isNull(), "missing_left").otherwise("matched")
+        F.when(F.col("__right").isNull(), "missing_right").when(F.col("__left").isNull(), "missing_left").otherwise("matched")
     )
     return joined.select(
         F.coalesce(f"left_{key}", f"right_{key}").alias(key),
@@ -142,6 +139,29 @@ def _outer(l: DataFrame, r: DataFrame, key: str, ts: str, within: str) -> DataFr
     )
 
 
+def window_cogroup_items(
+    left: DataFrame, right: DataFrame, key: str, ts: str, size: str, item: str, tie: str | None = None
+) -> DataFrame:
+    """(key, window_start, side, position, item): both sides' items per key and tumbling window.
+
+    ``side`` is left or right, ``position`` counts a side's items of a window from 0 in the order of time. One
+    row per item, so a window of any size is spread over tasks and nothing depends on a limit.
+    """
+    both, group, order = _both_sides(left, right, key, ts, size, item, tie)
+    placed = running(both, group, order, __nth=total(F.lit(1)))
+    side = F.when(F.col("__side") == 0, "left").otherwise("right")
+    return placed.select(key, "window_start", side.alias("side"), (F.col("__nth") - 1).cast("long").alias("position"), item)
+
+
+def _both_sides(left, right, key, ts, size, item, tie):
+    order = [ts] + ([tie] if tie else [])
+    columns = list(dict.fromkeys([key, item, *order]))
+    both = left.select(*columns).withColumn("__side", F.lit(0)).unionByName(
+        right.select(*columns).withColumn("__side", F.lit(1))
+    )
+    return both.withColumn("window_start", window_start(F.col(ts), size)), [key, "window_start", "__side"], order
+
+
 def window_cogroup(
     left: DataFrame,
     right: DataFrame,
@@ -154,21 +174,14 @@ def window_cogroup(
 ) -> DataFrame:
     """Both sides' items per key and tumbling window, ordered by time, as two arrays.
 
-    A side with more than ``chunk_rows`` items is given in several rows numbered by ``chunk``, so no
-    array outgrows a task. Usually there is one chunk, 0. A side without rows has an empty array.
+    A step over ``window_cogroup_items`` for windows that fit a row. With ``chunk_rows`` a longer side is given
+    in several rows numbered by ``chunk``, of that many items each; chunks of the two sides have nothing to do with each
+    other. Without it there is one row, chunk 0, whatever the session's settings. A side without rows has an empty array.
     """
-    limit = chunk_rows or segment_rows(left.sparkSession)
-    order = [ts] + ([tie] if tie else [])
-    columns = list(dict.fromkeys([key, item, *order]))
-    both = left.select(*columns).withColumn("__side", F.lit(0)).unionByName(
-        right.select(*columns).withColumn("__side", F.lit(1))
-    )
-    both = both.withColumn("window_start", window_start(F.col(ts), size))
-    group = [key, "window_start", "__side"]
-    large = hot_keys(both, group, limit, exact=True)
-    if large:
-        placed = running(both, group, order, hot=large, __nth=total(F.lit(1)))
-        both = placed.withColumn("chunk", F.floor((F.col("__nth") - 1) / F.lit(limit)))
+    both, group, order = _both_sides(left, right, key, ts, size, item, tie)
+    if chunk_rows:
+        placed = running(both, group, order, __nth=total(F.lit(1)))
+        both = placed.withColumn("chunk", F.floor((F.col("__nth") - 1) / F.lit(chunk_rows)))
     else:
         both = both.withColumn("chunk", F.lit(0).cast("bigint"))
     entry = F.struct(*dict.fromkeys([*order, item]))
@@ -193,8 +206,8 @@ def sequence_rules(
 ) -> DataFrame:
     """Rows whose previous and current action of the key match a rule (action1, action2).
 
-    ``mode="latest"`` keeps only the rule that arrived last. Rules are broadcast after a check that
-    there are at most ``RULES_BROADCAST`` of them; beyond that the join is left to Spark.
+    ``mode="latest"`` keeps only the rule that arrived last. How the rules reach the rows is left to Spark, which
+    knows their size when it joins.
     """
     if mode == "latest":
         rules = rules.agg(
@@ -203,8 +216,6 @@ def sequence_rules(
     elif mode != "all":
         raise ValueError("mode is 'all' or 'latest'")
     rules = rules.select("action1", "action2").distinct()
-    if rules.limit(RULES_BROADCAST + 1).count() <= RULES_BROADCAST:
-        rules = F.broadcast(rules)
     steps = neighbours(
         actions.select(key, arrival, action), [key], [arrival], {"action1": (F.col(action), 1)}
     ).withColumnRenamed(action, "action2")

@@ -43,14 +43,16 @@ def periodic_totals(df: DataFrame, key: str, ts: str, period: str) -> DataFrame:
     """(key, fire_at, total): a key's row count, reported ``period`` after the row that asked for it.
 
     The first row asks for a report; after a report the next row asks again. Rows up to and including
-    the report's time count, and the count is never reset. ``fire_at`` is in epoch microseconds.
+    the report's time count, and the count is never reset. ``fire_at`` is in epoch microseconds. Rows without a
+    key or a time ask for nothing and are not counted.
 
     Where a report starts depends on the one before, which no window frame expresses. Keys of bounded
     size are walked in time order by the task that sorted them; the steps of hot keys are linked by
     pointer jumping over all their rows in parallel.
     """
     spans = duration_micros(period)
-    times = df.where(F.col(key).isNotNull()).select(key, micros(F.col(ts)).alias("at"))
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    times = df.where(known).select(key, micros(F.col(ts)).alias("at"))
     hot = hot_keys(times, [key])
     if not hot:
         return _walked(times, key, spans)

@@ -21,11 +21,9 @@ def round_robin(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
-def rescaled(df: DataFrame, partitions: int) -> DataFrame:
-    """Fewer partitions without a shuffle; more of them need one."""
-    if partitions < df.rdd.getNumPartitions():
-        return df.coalesce(partitions)
-    return df.repartition(partitions)
+def rescaled(df: DataFrame, partitions: int, widen: bool = False) -> DataFrame:
+    """At most ``partitions`` partitions, without a shuffle; exactly that many by a shuffle if ``widen``."""
+    return df.repartition(partitions) if widen else df.coalesce(partitions)
 
 
 def replicated(df: DataFrame, copies: int, name: str = "replica") -> DataFrame:

@@ -12,12 +12,16 @@ from tidemark.plans.skew import segmented
 STEP_NAMES = ["first", "second", "third", "fourth", "fifth", "sixth"]
 
 
+def _step_column(i: int) -> str:
+    return f"{STEP_NAMES[i] if i < len(STEP_NAMES) else f'step_{i + 1}'}_ts"
+
+
 def strict_sequence(
     df: DataFrame, key: str, order: list[str], steps: list[Column], ts: str
 ) -> DataFrame:
     """Rows that meet the steps' conditions one directly after the other; matches may overlap.
 
-    Gives the key and one event time per step.
+    Gives the key and one event time per step, named first_ts to sixth_ts, then step_7_ts and so on.
     """
     last = len(steps) - 1
     back = {}
@@ -28,8 +32,8 @@ def strict_sequence(
     met = steps[-1]
     for i in range(last):
         met = met & F.col(f"__ok{i}")
-    times = [F.col(f"__ts{i}").alias(f"{STEP_NAMES[i]}_ts") for i in range(last)]
-    return seen.where(met).select(key, *times, F.col(ts).alias(f"{STEP_NAMES[last]}_ts"))
+    times = [F.col(f"__ts{i}").alias(_step_column(i)) for i in range(last)]
+    return seen.where(met).select(key, *times, F.col(ts).alias(_step_column(last)))
 
 
 def repeated(df: DataFrame, key: str, order: list[str], condition: Column, times: int, ts: str) -> DataFrame:

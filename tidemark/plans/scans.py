@@ -111,6 +111,8 @@ def look_back(
     reverse: bool = False,
 ) -> Segments:
     """Add ``name -> value of the row that is ``offset`` rows earlier`` (later if ``reverse``)."""
+    if not columns:
+        return segments
     rows = segments.frame
     ordered = _window([*keys, SEGMENT] if segments.count else keys, order, reverse)
     lags = {n: F.lag(c, k).over(ordered) for n, (c, k) in columns.items()}
