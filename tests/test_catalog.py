@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -47,7 +48,7 @@ def compare(df, duck, sql):
     assert sorted(tuple(plain(r[c]) for c in order) for r in df.collect()) == expected
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     compare(entry_points.queries()[name](spark, SF_DIR), duck, entry_points.oracle_sql()[name])
 
