@@ -76,19 +76,18 @@ def refired_counts(classified: DataFrame, keys: list[str], arrival: list[str]) -
     """Every result the windows emit: the first one, then one more per accepted late row.
 
     ``refired_by`` is the arrival of the late row that caused the result, null for the first one.
-    Only late rows need an order; on-time rows are just counted. Which windows are hot is asked of all
-    rows, which needs no watermarks.
+    Only late rows need an order; on-time rows of a window become one row without arrival, by the same pass over
+    the watermarks. Which windows are hot is asked of all rows, which needs no watermarks.
     """
     group = [*keys, "window_start", "window_end"]
     hot = hot_keys(classified, group)
-    kinds = {f.name: f.dataType for f in classified.schema}
-    on_time = classified.where(F.col("arrived") == ON_TIME).groupBy(*group)
-    first = on_time.agg(F.count(F.lit(1)).alias("__n")).select(
-        *group, *[F.lit(None).cast(kinds[c]).alias(c) for c in arrival], "__n"
+    is_late = F.col("arrived") == LATE
+    rows = classified.where(is_late | (F.col("arrived") == ON_TIME)).groupBy(
+        *group, *[F.when(is_late, F.col(c)).alias(c) for c in arrival]
     )
-    late = classified.where(F.col("arrived") == LATE).select(*group, *arrival, F.lit(1).alias("__n"))
+    counted = rows.agg(F.count(F.lit(1)).alias("__n"))
     # The first result has no arrival, so it comes first in the order and the late rows add to it.
-    emitted = running(first.unionByName(late), group, arrival, hot=hot, cnt=total(F.col("__n")))
+    emitted = running(counted, group, arrival, hot=hot, cnt=total(F.col("__n")))
     return emitted.select(*group, F.col(arrival[-1]).alias("refired_by"), "cnt")
 
 
