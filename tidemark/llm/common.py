@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_path
 
 ROW = "__row"
 
@@ -18,10 +19,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder: later steps neither recompute nor lose them."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Plans made inside hand tasks batches of at most that many rows; texts and sets can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def cut(df: DataFrame, rows: int = 1_000) -> DataFrame:
+    """The rows as a table in the shared folder: later steps neither recompute nor lose them.
+
+    Unlike after a checkpoint, the optimizer knows the table's true size. A checkpoint keeps the estimate of its plan, and
+    over rounds of joins such estimates are multiplied until planning itself does not end. ``rows``: see batch_rows.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    with batch_rows(df.sparkSession, rows):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,8 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.shingles import (
+    DOC,
+    TEXT_HASH,
+    TOKEN_BITS,
+    Comparison,
+    Plan,
+    classes_of,
+    keyed,
+    may_reach,
+    named,
+    prefix_length,
+    signature_rows,
+    signature_units,
+    with_key,
+)
 from tidemark.llm.common import cut
-from tidemark.llm.shingles import NO_ID, TOKEN_BITS, Plan, class_sets, keyed, may_reach, prefix_length, signature_units, similar
 from tidemark.llm.tokens import U64, mix
 
 
@@ -23,15 +37,15 @@ def rare_prefixes(percent: int):
         units = np.repeat(full, sizes[full])
         place = np.arange(len(tokens)) - offsets[units]
         inside = place < prefix_length(sizes, percent)[units]
-        return units[inside], mix(tokens[inside] & U64((1 << TOKEN_BITS) - 1), 5), place[inside]
+        return units[inside], mix(tokens[inside] & U64((1 << TOKEN_BITS) - 1), 5), place[inside], prefix_length(sizes, percent)
 
     return signatures
 
 
-def matched_classes(open_rows: DataFrame, sets: DataFrame, percent: int, star_rounds: int) -> DataFrame | None:
-    """(class) of the classes that an earlier one is similar to; None if there are none.
+def matched_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> DataFrame | None:
+    """(cid) of the classes that an earlier one is similar to; None if there are none.
 
-    ``open_rows`` (cut): sig, class, first, n, place. A star round compares the earliest class of each signature
+    ``rows``: sig, cid, first, n, place. A star round compares the earliest class of each signature
     with the later ones and takes it out; a class that has its match asks no more, but may still be the match of
     later ones. What is left after ``star_rounds`` is compared in pairs, of which the later class has no match yet.
     """
@@ -39,37 +53,33 @@ def matched_classes(open_rows: DataFrame, sets: DataFrame, percent: int, star_ro
     for turn in range(star_rounds + 1):
         if matched is not None:
             known = matched.withColumn("done", F.lit(True))
-            open_rows = open_rows.drop("done").join(known, "class", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+            rows = rows.drop("done").join(known, "cid", "left").withColumn("done", F.coalesce("done", F.lit(False)))
         else:
-            open_rows = open_rows.withColumn("done", F.lit(False))
-        hubs = open_rows.groupBy("sig").agg(
-            F.min(F.struct("first", "class", "n", "place")).alias("hub"),
+            rows = rows.withColumn("done", F.lit(False))
+        hubs = rows.groupBy("sig").agg(
+            F.min(F.struct("first", "cid", "n", "place")).alias("hub"),
             F.max(F.when(~F.col("done"), F.col("first"))).alias("last_asking"),
         )
         hubs = hubs.filter(F.col("last_asking") > F.col("hub.first"))
-        open_rows = cut(open_rows.join(hubs, "sig").filter(F.col("first") <= F.col("last_asking")).drop("last_asking"))
-        if open_rows.isEmpty():
+        rows = cut(rows.join(hubs, "sig").filter(F.col("first") <= F.col("last_asking")).drop("last_asking"))
+        if rows.isEmpty():
             break
+        asking = F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b")
         if turn < star_rounds:
-            asks = open_rows.filter("not done")
-            met = asks.select(
-                F.col("hub.class").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.place").alias("place_a"),
-                F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"),
-            ).filter("a != b")
+            hub = [F.col(f"hub.{c}").alias(n) for c, n in (("cid", "a"), ("n", "n_a"), ("place", "place_a"))]
+            met = rows.filter("not done").select(*hub, *asking).filter("a != b")
         else:
-            left = open_rows.select("sig", F.col("class").alias("a"), F.col("first").alias("first_a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
-            right = open_rows.filter("not done").select(
-                "sig", F.col("class").alias("b"), F.col("first").alias("first_b"), F.col("n").alias("n_b"), F.col("place").alias("place_b")
-            )
+            left = rows.select("sig", F.col("cid").alias("a"), F.col("first").alias("first_a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
+            right = rows.filter("not done").select("sig", F.col("first").alias("first_b"), *asking)
             met = left.join(right, "sig").filter("first_a < first_b")
-        pairs = met.filter(may_reach(percent, "n_a", "place_a", "n_b", "place_b")).select("a", "b").distinct()
+        pairs = met.filter(may_reach(compare.plan.percent, "n_a", "place_a", "n_b", "place_b")).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        new = cut(similar(pairs, sets, percent).select(F.col("b").alias("class")).distinct())
-        matched = new if matched is None else cut(matched.unionByName(new).distinct())
+        new = compare.links(pairs).select(F.col("b").alias("cid")).distinct()
+        matched = cut(new if matched is None else matched.unionByName(new).distinct())
         tested = pairs if tested is None else tested.unionByName(pairs)
-        open_rows = open_rows.filter(F.col("class") != F.col("hub.class")).drop("hub")
+        rows = rows.filter(F.col("cid") != F.col("hub.cid")).drop("hub")
     return matched
 
 
@@ -78,24 +88,16 @@ def repeated_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words:
     source = keyed(docs)
     plan = Plan(k, percent, by_line=True, least_words=least_words)
     units = signature_units(source, plan, rare_prefixes(percent), all_units=False)
-    place = F.struct("doc", "text_hash", "line")
-    rows = (
-        units.select("class", "n", place.alias("first"), F.explode(F.arrays_zip("sigs", "places")).alias("s"))
-        .groupBy(F.col("s.sigs").alias("sig"), "class")
-        .agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("s.places").alias("place"))
-    )
-    shared = rows.groupBy("sig").agg(F.count("*").alias("classes")).filter("classes > 1").select("sig")
-    open_rows = cut(rows.join(shared, "sig"))
-    wanted = open_rows.select("class", "first").distinct().select("first.*")
+    classes = classes_of(units)
     repeated = not units.groupBy("doc", "text_hash", "line").count().filter("count > 1").isEmpty()
-    matched = matched_classes(open_rows, class_sets(source, wanted, plan, repeated), percent, star_rounds)
-    classes = units.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("rows"))
+    matched = matched_classes(signature_rows(classes, "first"), Comparison(source, classes, plan, repeated), star_rounds)
     if matched is not None:
-        classes = classes.join(matched.withColumn("matched", F.lit(True)), "class", "left")
+        classes = classes.join(matched.withColumn("matched", F.lit(True)), "cid", "left")
     else:
         classes = classes.withColumn("matched", F.lit(None).cast("boolean"))
-    classes = classes.filter("rows > 1 or matched").withColumn("matched", F.coalesce("matched", F.lit(False)))
-    gone = units.join(classes.drop("rows"), "class").filter(F.col("matched") | (place != F.col("first")))
+    later = classes.filter("rows > 1 or matched").select("class", "first", F.coalesce("matched", F.lit(False)).alias("matched"))
+    place = F.struct("doc", "text_hash", "line")
+    gone = units.select("doc", "text_hash", "line", "class").join(later, "class").filter(F.col("matched") | (place != F.col("first")))
     return gone.groupBy("doc", "text_hash").agg(F.collect_set("line").alias("lines"))
 
 
@@ -113,21 +115,14 @@ def dedup_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words: int
     lines. A null identifier is later than any other. No rows give no rows; other columns stay as they are.
     """
     gone = repeated_lines(docs, percent, k, least_words, star_rounds)
-    named = docs.withColumns(
-        {"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__text_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
-    )
-    marked = named.join(
-        gone.withColumnRenamed("lines", "__lines"),
-        (named["__doc"] == gone["doc"]) & (named["__text_hash"] == gone["text_hash"]),
-        "left",
-    ).drop("__doc", "__text_hash", "doc", "text_hash")
+    marked = with_key(docs).join(named(gone, "lines"), [DOC, TEXT_HASH], "left").select(*docs.columns, "__tm_lines")
     schema = T.StructType([*docs.schema.fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_removed", T.LongType())])
     own, at = docs.columns, docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lines, removed = [], [], []
-            for text, numbers in zip(batch.column("text").to_pylist(), batch.column("__lines").to_pylist(), strict=True):
+            for text, numbers in zip(batch.column("text").to_pylist(), batch.column("__tm_lines").to_pylist(), strict=True):
                 n = 0 if text is None else text.count("\n") + 1
                 if numbers:
                     drop = set(numbers)

@@ -7,7 +7,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
-from tidemark.llm.shingles import NO_ID, TOKEN_BITS, Plan, class_sets, keyed, may_reach, prefix_length, signature_units, similar
+from tidemark.llm.shingles import (
+    DOC,
+    NO_ID,
+    TEXT_HASH,
+    TOKEN_BITS,
+    Comparison,
+    Plan,
+    classes_of,
+    keyed,
+    may_reach,
+    named,
+    prefix_length,
+    signature_rows,
+    signature_units,
+    with_key,
+)
 from tidemark.llm.tokens import U64, mix
 
 #: Size groups: neighbours differ by this factor, which no two similar sets exceed twice over.
@@ -57,17 +72,16 @@ def combination_prefixes(percent: int, frequent_bits: int):
                 first, second = np.flatnonzero(same), np.flatnonzero(same) + ahead
                 pair = mix(t[first], 7) + mix(t[second], 8) + (group[u[first]] - below + 2).astype(U64) * U64(0x9E3779B97F4A7C15)
                 found.append((u[first], mix(pair, 9), p[first]))
+        # Signatures show a prefix token by token only if none of its tokens is frequent.
+        shown = most.copy()
+        shown[units] = 0
         unit, sig, place = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(unit, kind="stable")
-        return unit[order], sig[order], place[order]
+        return unit[order], sig[order], place[order], shown
 
     return signatures
 
 
-def _smallest(frame: DataFrame, groups: list[str], column: str) -> DataFrame:
-    return frame.groupBy(*groups).agg(F.min(column).alias(column))
-
-
 def merged_labels(edges: DataFrame) -> DataFrame:
     """(label, smaller) for ``edges`` (x, y) between labels: the smallest label of the component of each.
 
@@ -82,63 +96,63 @@ def merged_labels(edges: DataFrame) -> DataFrame:
         after = cut(
             nearer.join(jump, "now", "left").select("label", F.coalesce("further", "now").alias("now"), "smaller")
         )
-        changed = after.filter("now != smaller").isEmpty()
+        settled = after.filter("now != smaller").isEmpty()
         known = after.select("label", F.col("now").alias("smaller"))
-        if changed:
+        if settled:
             return known
 
 
-def link_classes(open_rows: DataFrame, sets: DataFrame, percent: int, star_rounds: int) -> DataFrame | None:
-    """(class, label) of the classes that are linked to another; None without any link.
+def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> DataFrame | None:
+    """(cid, label) of the classes that are linked to another; None without any link.
 
-    ``open_rows`` (cut): sig, class, n, place. In a star round each signature's smallest class is compared with the
-    signature's other classes and then leaves it, so work follows the rows. Classes that are already connected are not compared again, and a
-    signature whose classes are all connected is done. After ``star_rounds`` what is left is compared in pairs.
+    ``rows``: sig, cid, n, place. In a star round each signature's smallest class is compared with the
+    signature's other classes and then leaves it, so work follows the rows. Classes that are already connected are
+    not compared again, and a signature whose classes are all connected is done. After ``star_rounds`` what is left is
+    compared in pairs.
     """
     labels = tested = None
     for turn in range(star_rounds + 1):
         if labels is not None:
-            open_rows = open_rows.drop("label").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+            rows = rows.drop("label").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         else:
-            open_rows = open_rows.withColumn("label", F.col("class"))
-        hubs = open_rows.groupBy("sig").agg(
-            F.min(F.struct("class", "n", "place", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
+            rows = rows.withColumn("label", F.col("cid"))
+        hubs = rows.groupBy("sig").agg(
+            F.min(F.struct("cid", "n", "place", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
         )
-        open_rows = cut(open_rows.join(hubs.filter("low != high").drop("low", "high"), "sig"))
-        if open_rows.isEmpty():
+        rows = cut(rows.join(hubs.filter("low != high").drop("low", "high"), "sig"))
+        if rows.isEmpty():
             break
+        names = {"cid": "b", "n": "n_b", "place": "place_b", "label": "label_b"}
+        right = [F.col(c).alias(n) for c, n in names.items()]
         if turn < star_rounds:
-            met = open_rows.select(
-                F.col("hub.class").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.place").alias("place_a"), F.col("hub.label").alias("label_a"),
-                F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("label").alias("label_b"),
-            )
+            hub = {"cid": "a", "n": "n_a", "place": "place_a", "label": "label_a"}
+            met = rows.select(*[F.col(f"hub.{c}").alias(n) for c, n in hub.items()], *right)
         else:
-            left = open_rows.select("sig", *[F.col(c).alias(f"{n}_a") for c, n in (("class", "class"), ("n", "n"), ("place", "place"), ("label", "label"))])
-            right = open_rows.select("sig", *[F.col(c).alias(f"{n}_b") for c, n in (("class", "class"), ("n", "n"), ("place", "place"), ("label", "label"))])
-            met = left.join(right, "sig").filter("class_a < class_b").withColumnsRenamed({"class_a": "a", "class_b": "b"})
+            left = rows.select("sig", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in names])
+            met = left.join(rows.select("sig", *right), "sig").filter("a < b")
         pairs = (
             met.filter((F.col("label_a") != F.col("label_b")) & (F.col("a") != F.col("b")))
-            .filter(may_reach(percent, "n_a", "place_a", "n_b", "place_b"))
+            .filter(may_reach(compare.plan.percent, "n_a", "place_a", "n_b", "place_b"))
             .select("a", "b", "label_a", "label_b")
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        links = cut(similar(pairs.select("a", "b"), sets, percent))
-        edges = links.join(pairs, ["a", "b"]).select(F.col("label_a").alias("x"), F.col("label_b").alias("y"))
+        links = compare.links(pairs.select("a", "b"))
         if not links.isEmpty():
+            edges = links.join(pairs, ["a", "b"]).select(F.col("label_a").alias("x"), F.col("label_b").alias("y"))
             moved = merged_labels(edges)
             if labels is None:
-                labels = cut(moved.select(F.col("label").alias("class"), F.col("smaller").alias("label")))
+                labels = cut(moved.select(F.col("label").alias("cid"), F.col("smaller").alias("label")))
             else:
                 # labels that moved, and classes that were alone until now
-                kept = labels.join(moved, "label", "left").select("class", F.coalesce("smaller", "label").alias("label"))
-                new = moved.join(labels.select(F.col("class").alias("label")), "label", "left_anti")
-                labels = cut(kept.unionByName(new.select(F.col("label").alias("class"), F.col("smaller").alias("label"))))
+                kept = labels.join(moved, "label", "left").select("cid", F.coalesce("smaller", "label").alias("label"))
+                new = moved.join(labels.select(F.col("cid").alias("label")), "label", "left_anti")
+                labels = cut(kept.unionByName(new.select(F.col("label").alias("cid"), F.col("smaller").alias("label"))))
         seen = pairs.select("a", "b")
         tested = seen if tested is None else tested.unionByName(seen)
-        open_rows = open_rows.filter(F.col("class") != F.col("hub.class")).drop("hub")
+        rows = rows.filter(F.col("cid") != F.col("hub.cid")).drop("hub")
     return labels
 
 
@@ -163,29 +177,18 @@ def linked_documents(
     source = keyed(docs, id_col, text_col)
     plan = Plan(k, percent)
     units = signature_units(source, plan, combination_prefixes(percent, frequent_bits), all_units=True)
-    classes = cut(
-        units.filter("n > 0").groupBy("class").agg(F.min(F.struct("doc", "text_hash", "line")).alias("first"), F.count("*").alias("rows"))
-    )
-    rows = units.filter("size(sigs) > 0").select(
-        "class", "n", F.explode(F.arrays_zip("sigs", "places")).alias("s")
-    )
-    rows = rows.groupBy(F.col("s.sigs").alias("sig"), "class").agg(F.min("n").alias("n"), F.min("s.places").alias("place"))
-    shared = rows.groupBy("sig").agg(F.count("*").alias("classes")).filter("classes > 1").select("sig")
-    open_rows = cut(rows.join(shared, "sig"))
-    wanted = open_rows.select("class").distinct().join(classes, "class").select("first.*")
+    classes = classes_of(units)
     repeated = not units.groupBy("doc", "text_hash").count().filter("count > 1").isEmpty()
-    sets = class_sets(source, wanted, plan, repeated)
-    labels = link_classes(open_rows, sets, percent, star_rounds)
-    named = classes.select("class", F.col("first.doc").alias("doc"))
+    labels = link_classes(signature_rows(classes), Comparison(source, classes, plan, repeated), star_rounds)
+    parts = classes.select("cid", "class", F.col("first.doc").alias("doc"))
     if labels is not None:
-        named = named.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-        lowest = named.groupBy("label").agg(F.min("doc").alias("component"))
-        named = named.join(lowest, "label").select("class", "component")
+        parts = parts.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        lowest = parts.groupBy("label").agg(F.min("doc").alias("component"))
+        parts = parts.join(lowest, "label").select("class", "component")
     else:
-        named = named.withColumnRenamed("doc", "component")
-    # A class met once needs no join: few classes have more rows, and a large one is split by its documents.
+        parts = parts.select("class", F.col("doc").alias("component"))
     return units.select("doc", "text_hash", F.col("n").cast("long").alias("n_shingles"), "class").join(
-        named, "class", "left"
+        parts, "class", "left"
     ).select("doc", "text_hash", "n_shingles", F.coalesce("component", "doc").alias("component"))
 
 
@@ -200,16 +203,11 @@ def ngram_components(docs: DataFrame, percent: int = 80, k: int = 5, **options)
 def one_of_each(docs: DataFrame, percent: int = 80, k: int = 5, **options) -> DataFrame:
     """The rows of ``docs``, all columns, without near duplicates: of each component the smallest doc_id stays.
 
-    Documents without words stay. Of rows that repeat the identifier and the text that stay, one does.
+    Documents without words stay. Of rows that repeat identifier and text one stays.
     """
     found = linked_documents(docs, percent, k, **options)
     gone = found.filter("n_shingles > 0 and doc != component").select("doc", "text_hash").distinct()
-    key = {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "text_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
-    named = docs.withColumns({f"__{n}": c for n, c in key.items()})
-    kept = named.join(gone, (named["__doc"] == gone["doc"]) & (named["__text_hash"] == gone["text_hash"]), "left_anti")
-    repeats = found.filter("n_shingles > 0").groupBy("doc").count().filter("count > 1").isEmpty()
-    if not repeats:
-        kept = kept.dropDuplicates(["__doc", "__text_hash"])
-    return kept.drop("__doc", "__text_hash")
-
-
+    kept = with_key(docs).join(named(gone), [DOC, TEXT_HASH], "left_anti")
+    if not found.groupBy("doc", "text_hash").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates([DOC, TEXT_HASH])
+    return kept.select(*docs.columns)

@@ -21,8 +21,11 @@ from tidemark.llm.tokens import U64, mix, powers, split_hashes, window_hashes
 TOKEN_BITS = 58
 NO_ID = (1 << 63) - 1
 
-#: A unit of a document: its place, class, size, and its signatures with their place in the set's order.
-UNIT = "doc long, text_hash long, line int, class binary, n int, sigs array<long>, places array<int>"
+#: A unit of a document: its place, class, size, the length of the prefix that its signatures show in full (or
+#: 0), and its signatures with their place in the set's order.
+UNIT = "doc long, text_hash long, line int, class binary, n int, prefix int, sigs array<long>, places array<int>"
+#: Documents asked for by name are broadcast up to this number (some 30 bytes each), and joined by a shuffle beyond it.
+BROADCAST_NAMES = 300_000
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -36,6 +39,26 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+DOC, TEXT_HASH = "__tm_doc", "__tm_text_hash"
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with the name of each document (see keyed) beside its own columns, whatever those are called."""
+    return docs.withColumns(
+        {
+            DOC: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+            TEXT_HASH: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))),
+        }
+    )
+
+
+def named(rows: DataFrame, *columns: str) -> DataFrame:
+    """(doc, text_hash) and ``columns`` of ``rows`` under names that no column of documents has."""
+    return rows.select(
+        F.col("doc").alias(DOC), F.col("text_hash").alias(TEXT_HASH), *[F.col(c).alias(f"__tm_{c}") for c in columns]
+    )
+
+
 @dataclass
 class Units:
     """Distinct shingles of units: ``tokens[offsets[i]:offsets[i + 1]]`` belong to unit i, line ``line[i]`` of text ``text[i]``."""
@@ -114,7 +137,7 @@ class Plan:
     percent: int = 80
     by_line: bool = False
     least_words: int = 1
-    slice_bytes: int = 2_000_000
+    slice_bytes: int = 1_000_000
 
     def chunks(self, batches: Iterator[pa.RecordBatch], classes: np.ndarray | None) -> Iterator[tuple[pa.RecordBatch, int, Units]]:
         for batch in batches:
@@ -136,8 +159,8 @@ def token_classes(source: DataFrame, plan: Plan):
 def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple], all_units: bool) -> DataFrame:
     """Rows of UNIT. Signatures that no other unit has, by a count-min sketch over all of them, are left out.
 
-    ``signatures(tokens, sizes, offsets)`` gives (unit, signature, place) of the units of a slice, units ascending. Units without any remaining
-    signature are left out as well, unless ``all_units``.
+    ``signatures(tokens, sizes, offsets)`` gives (unit, signature, place) of the units of a slice, units ascending,
+    and the prefix length of each unit. Units without any remaining signature are left out as well, unless ``all_units``.
     """
     classes, total = token_classes(source, plan)
     bits, depth = sketch.width_bits(total * (100 - plan.percent) // 100 + 1), 2
@@ -155,7 +178,7 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, units in plan.chunks(batches, classes.value):
-            unit, sig, place = sigs_of(units)
+            unit, sig, place, prefix = sigs_of(units)
             keep = sketch.met_twice(sig, found.value, bits)
             unit, sig, place = unit[keep], sig[keep], place[keep]
             sizes = np.diff(units.offsets)
@@ -174,59 +197,106 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
                     pa.array(units.line[rows].astype(np.int32)),
                     pa.array([names[r] for r in rows], pa.binary()),
                     pa.array(sizes[rows].astype(np.int32)),
+                    pa.array(prefix[rows].astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(place.astype(np.int32))),
                 ],
-                names=["doc", "text_hash", "line", "class", "n", "sigs", "places"],
+                names=["doc", "text_hash", "line", "class", "n", "prefix", "sigs", "places"],
             )
 
     return cut(source.mapInArrow(emit, UNIT))
 
 
+def classes_of(units: DataFrame) -> DataFrame:
+    """(cid, class, first, rows, n, prefix, sigs, places), cut: the classes of ``units``, their first unit and number of units."""
+    same = [F.first(c).alias(c) for c in ("n", "prefix", "sigs", "places")]
+    grouped = units.filter("n > 0").groupBy("class")
+    found = grouped.agg(F.min(F.struct("doc", "text_hash", "line")).alias("first"), F.count("*").alias("rows"), *same)
+    return cut(found.withColumn("cid", F.monotonically_increasing_id()))
+
+
+def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b: cid) whose prefixes have enough in common.
+
+    Tokens behind the prefix that ends first are all that can be common besides the common ones of both prefixes.
+    """
+    rest = classes.select("cid", "n", (F.col("n") - F.col("prefix")).alias("rest"), "sigs")
+    a = rest.select(*[F.col(c).alias(f"{c}_a") for c in rest.columns])
+    b = rest.select(*[F.col(c).alias(f"{c}_b") for c in rest.columns])
+    met = pairs.join(a, pairs["a"] == a["cid_a"]).join(b, pairs["b"] == b["cid_b"])
+    common = F.size(F.array_intersect("sigs_a", "sigs_b")) + F.greatest("rest_a", "rest_b")
+    return met.filter((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select(*pairs.columns)
+
+
 def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool) -> DataFrame:
-    """(class, set) of the classes whose first units are ``wanted`` (doc, text_hash, line): tokens as sorted 64-bit integers.
+    """(cid, set), cut, of the classes ``wanted`` (cid, first): tokens as sorted 64-bit integers.
 
     ``repeated``: whether rows of ``source`` may repeat a document, so that a class is read more than once.
     """
-    lines = wanted.groupBy("doc", "text_hash").agg(F.collect_set("line").alias("lines"))
-    joined = source.join(lines, ["doc", "text_hash"]).select("text", "lines")
+    asked = cut(
+        wanted.select("cid", "first.*").groupBy("doc", "text_hash").agg(F.collect_list(F.struct("line", "cid")).alias("lines"))
+    )
+    few = asked.count() <= BROADCAST_NAMES
+    joined = source.join(F.broadcast(asked) if few else asked, ["doc", "text_hash"]).select("text", "lines")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, units in plan.chunks(batches, None):
-            lines = batch.column("lines").to_pylist()
-            asked = [set(x) for x in lines[first : first + int(units.text.max(initial=-1)) + 1]]
-            rows = [i for i, (t, x) in enumerate(zip(units.text.tolist(), units.line.tolist(), strict=True)) if x in asked[t]]
-            names, offsets = digests(units), units.offsets
+            lines, offsets = batch.column("lines"), units.offsets
+            begin = np.searchsorted(units.text, np.arange(int(units.text.max(initial=-1)) + 1))
+            rows = [(int(begin[t]) + x["line"], x["cid"]) for t in range(len(begin)) for x in lines[first + t].as_py()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([names[i] for i in rows], pa.binary()),
-                    pa.array([units.tokens[offsets[i] : offsets[i + 1]].tobytes() for i in rows], pa.binary()),
+                    pa.array([cid for _, cid in rows], pa.int64()),
+                    pa.array([units.tokens[offsets[i] : offsets[i + 1]].tobytes() for i, _ in rows], pa.binary()),
                 ],
-                names=["class", "set"],
+                names=["cid", "set"],
             )
 
-    found = joined.mapInArrow(sets, "class binary, set binary")
-    return cut(found.dropDuplicates(["class"]) if repeated else found)
+    found = joined.mapInArrow(sets, "cid long, set binary")
+    return cut(found.dropDuplicates(["cid"]) if repeated else found)
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b: classes) whose sets have percent of their union in common."""
+    """The rows of ``pairs`` (a, b: cid) whose sets have percent of their union in common."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-                both = np.concatenate((np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")))
+            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+                both = np.concatenate((np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")))
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 marks.append(100 * common >= percent * (len(both) - common))
-            kept = batch.select(["a", "b"]).filter(pa.array(marks, pa.bool_()))
-            yield kept
+            yield batch.select(["a", "b"]).filter(pa.array(marks, pa.bool_()))
 
-    met = pairs.join(sets.withColumnsRenamed({"class": "a", "set": "set_a"}), "a").join(
-        sets.withColumnsRenamed({"class": "b", "set": "set_b"}), "b"
+    met = pairs.join(sets.withColumnsRenamed({"cid": "a", "set": "set_a"}), "a").join(
+        sets.withColumnsRenamed({"cid": "b", "set": "set_b"}), "b"
+    )
+    return met.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long")
+
+
+@dataclass(frozen=True)
+class Comparison:
+    """Exact comparison of classes: by their signatures first, then by sets read from the texts once more."""
+
+    source: DataFrame
+    classes: DataFrame
+    plan: Plan
+    repeated: bool
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """(a, b), cut: those of ``pairs`` (a, b: cid, distinct) that are similar."""
+        near = cut(promising(pairs, self.classes, self.plan.percent))
+        ids = near.select(F.col("a").alias("cid")).unionByName(near.select(F.col("b").alias("cid"))).distinct()
+        sets = class_sets(self.source, self.classes.join(ids, "cid").select("cid", "first"), self.plan, self.repeated)
+        return cut(similar(near, sets, self.plan.percent), rows=200)
+
+
+def signature_rows(classes: DataFrame, *columns: str) -> DataFrame:
+    """(sig, cid, n, place, and ``columns``): a row for each signature of each class."""
+    return classes.select("cid", "n", *columns, F.explode(F.arrays_zip("sigs", "places")).alias("s")).select(
+        F.col("s.sigs").alias("sig"), "cid", "n", F.col("s.places").alias("place"), *columns
     )
-    return met.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a binary, b binary")
 
 
 def may_reach(percent: int, n_a: str, place_a: str, n_b: str, place_b: str) -> F.Column:

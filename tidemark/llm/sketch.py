@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import batch_rows
 from tidemark.llm.tokens import U64, mix
 
 BLOCK_BITS = 16
@@ -28,7 +29,7 @@ def width_bits(keys: int, least: int = 18, most: int = 27) -> int:
     return int(min(most, max(least, np.ceil(np.log2(max(1, keys) * 4)))))
 
 
-def sketch_parts(key_chunks: Iterator[np.ndarray], bits: int, depth: int, held: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def sketch_parts(key_chunks: Iterator[np.ndarray], bits: int, depth: int, held: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The sketch of the keys of a partition, as sparse blocks: cells met once, and cells met more often.
 
     Keys are gathered up to ``held`` and then given out, so memory does not depend on the partition's size.
@@ -98,7 +99,9 @@ def repeated_cells(parts: DataFrame, bits: int, depth: int) -> np.ndarray:
     out = np.zeros((depth, max(1, (1 << bits) // 8)), np.uint8)
     step = (1 << BLOCK_BITS) // 8
     merged = parts.repartition(F.col("line"), F.col("block")).mapInArrow(merge, "line int, block int, bits binary")
-    for r in merged.collect():  # at most depth * 2 ** (bits - BLOCK_BITS) rows of 8 KB
+    with batch_rows(parts.sparkSession, 1_000):
+        blocks = merged.collect()
+    for r in blocks:  # at most depth * 2 ** (bits - BLOCK_BITS) rows of 8 KB
         out[r["line"], r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
@@ -116,7 +119,7 @@ COUNT_BITS = 22
 COUNT_TYPE = "block int, cells binary, counts binary, keys long"
 
 
-def count_parts(key_chunks: Iterator[np.ndarray], held: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def count_parts(key_chunks: Iterator[np.ndarray], held: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Counts of keys met more than once among ``held`` neighbouring keys, by cell, as sparse blocks.
 
     Rare keys, nearly all of them, leave nothing behind, so cells tell the frequent ones apart. ``keys`` counts all.
