@@ -98,7 +98,7 @@ def line_report(rows, percent=80):
     hashes = defaultdict(list)
     for d, t in order:
         hashes[d].append(t)
-    assert all(len(x) == 1 for x in hashes.values() if x is not hashes[LAST])
+    assert all(len(x) == 1 for x in hashes.values() if x is not hashes.get(LAST))
     for d, t in order:
         for i, line in enumerate(t.split("\n")):
             if len(words_of(line)) >= 5:

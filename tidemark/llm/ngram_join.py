@@ -27,6 +27,7 @@ from tidemark.llm.tokens import U64, mix
 
 #: Size groups: neighbours differ by this factor, which no two similar sets exceed twice over.
 GROUP_STEP = 1.25
+SMALL = 8
 
 
 def combination_prefixes(percent: int, frequent_bits: int):
@@ -37,8 +38,13 @@ def combination_prefixes(percent: int, frequent_bits: int):
     are frequent: of m classes, made by a hash, two fall into one class, and pairs within a class are indexed.
     m grows with the set (an eighth of its prefix), so a set has a few pairs for each frequent token, and
     it is taken from a size group that both sets share: each set is indexed under its own group and the one
-    below.
+    below. Sets too small to have m + 1 tokens in common for sure, and their partners, index every token alone as well.
+
+    The place of a single token is its place in the set's order. If two similar sets share any rare token, the
+    first one that they share is rare. Pairs need not hold that one and have place 0.
     """
+    if percent < 50:
+        raise ValueError("percent is at least 50")
     step = np.log(max(GROUP_STEP, 100 / percent))
 
     def extension(group: np.ndarray) -> np.ndarray:
@@ -55,9 +61,10 @@ def combination_prefixes(percent: int, frequent_bits: int):
         inside = place < most[units]
         tokens, units, place = tokens[inside], units[inside], place[inside]
         rare = (tokens >> U64(TOKEN_BITS)) < U64(frequent_bits)
-        found = [(units[rare], mix(tokens[rare] & U64((1 << TOKEN_BITS) - 1), 5), place[rare])]
-        tokens, units, place = tokens[~rare], units[~rare], place[~rare]
         tokens = tokens & U64((1 << TOKEN_BITS) - 1)
+        alone = rare | (sizes[units] <= SMALL)
+        found = [(units[alone], mix(tokens[alone], 5), place[alone])]
+        tokens, units, place = tokens[~rare], units[~rare], place[~rare]
         for below in (0, 1):
             m = extension(group - below)
             fits = place < np.minimum(plain + m, sizes)[units]
@@ -71,7 +78,7 @@ def combination_prefixes(percent: int, frequent_bits: int):
                     break
                 first, second = np.flatnonzero(same), np.flatnonzero(same) + ahead
                 pair = mix(t[first], 7) + mix(t[second], 8) + (group[u[first]] - below + 2).astype(U64) * U64(0x9E3779B97F4A7C15)
-                found.append((u[first], mix(pair, 9), p[first]))
+                found.append((u[first], mix(pair, 9), np.zeros(len(first), p.dtype)))
         # Signatures show a prefix token by token only if none of its tokens is frequent.
         shown = most.copy()
         shown[units] = 0
@@ -160,7 +167,7 @@ def linked_documents(
     docs: DataFrame,
     percent: int = 80,
     k: int = 5,
-    frequent_bits: int = 11,
+    frequent_bits: int = 5,
     star_rounds: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",

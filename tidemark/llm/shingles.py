@@ -300,10 +300,11 @@ def signature_rows(classes: DataFrame, *columns: str) -> DataFrame:
 
 
 def may_reach(percent: int, n_a: str, place_a: str, n_b: str, place_b: str) -> F.Column:
-    """Length and positional filters of two sets that share a signature at the given places of their orders."""
+    """Length and positional filters of two sets whose first common token stands at the given places of their orders.
+
+    Similar sets pass at the first token they share; at a later one they may fail, which loses nothing.
+    """
     a, b, i, j = (F.col(c) for c in (n_a, n_b, place_a, place_b))
-    return (
-        (100 * F.least(a, b) >= percent * F.greatest(a, b))
-        # common tokens from the first shared one on: at most what is left of the shorter rest
-        & ((100 + percent) * (F.least(i, j) + F.least(a - i, b - j)) >= percent * (a + b))
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (
+        (100 + percent) * F.least(a - i, b - j) >= percent * (a + b)
     )
