@@ -123,6 +123,33 @@ def test_lines(docs, rows_of, star_rounds):
     assert Counter((r["doc_id"], r["text"], r["__n_lines"], r["__n_removed"]) for r in found.collect()) == expected
 
 
+def test_short_lines(make_docs):
+    """Lines of one to four words go if the same words stood on an earlier line; blank lines stay."""
+    docs = make_docs(["Les.\n\nErheed. Titionly.", "one two three four\nles.\n \n", "Les. Les.\nerheed.  titionly.\nOne two three FOUR", "\n", "Les."])
+    found = {r["doc_id"]: (r["text"], r["__n_lines"], r["__n_removed"]) for r in line_dedup.dedup_lines(docs).collect()}
+    assert found == {
+        0: ("Les.\n\nErheed. Titionly.", 3, 0),
+        1: ("one two three four\n \n", 4, 1),
+        2: ("Les. Les.", 3, 2),
+        3: ("\n", 2, 0),
+        4: ("", 1, 1),
+    }
+
+
+@pytest.mark.parametrize("star_rounds", [0, 2])
+def test_lines_of_all_lengths(docs, rows_of, star_rounds):
+    """Against all pairs of lines; only blank ones are left out."""
+    order = sorted({(LAST if d is None else d, t or "") for d, t in rows_of})
+    seen, gone = [], defaultdict(int)
+    for d, t in order:
+        for line in t.split("\n"):
+            s = shingle_set(line)
+            gone[d, t] += any(linked(s, x, 80) for x in seen) if s else 0
+            seen.append(s)
+    found = line_dedup.dedup_lines(docs, star_rounds=star_rounds).collect()
+    assert Counter((r["doc_id"], r["__n_removed"]) for r in found) == Counter((d, gone[LAST if d is None else d, t or ""]) for d, t in rows_of)
+
+
 def near_lines(make_docs):
     rng = random.Random(8)
     base = sentence(rng, 80)

@@ -83,7 +83,7 @@ def matched_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> D
     return matched
 
 
-def repeated_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words: int = 5, star_rounds: int = 2) -> DataFrame:
+def repeated_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words: int = 1, star_rounds: int = 2) -> DataFrame:
     """(doc, text_hash, lines): numbers of the lines of each document that an earlier line is similar to."""
     source = keyed(docs)
     plan = Plan(k, percent, by_line=True, least_words=least_words)
@@ -101,12 +101,13 @@ def repeated_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words:
     return gone.groupBy("doc", "text_hash").agg(F.collect_set("line").alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words: int = 5, star_rounds: int = 2) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = 80, k: int = 5, least_words: int = 1, star_rounds: int = 2) -> DataFrame:
     """``docs`` with later repeats of lines taken out of ``text``, and ``__n_lines`` and ``__n_removed``.
 
     A line (text between line feeds) is removed if an earlier line of the corpus is similar: by number of the document, then
     place, whether or not that line was removed itself. Lines are sets of ``k``-word shingles (A-Z as
-    a-z), similar at ``percent`` % of the union; lines of fewer than ``least_words`` words are never touched. Each
+    a-z), similar at ``percent`` % of the union; a line of fewer than ``k`` words is one shingle, so it goes if the same words
+    stood on an earlier line. Lines of fewer than ``least_words`` words are never touched; by default those are the blank ones. Each
     set's tokens are ordered by their rarity in the corpus; candidates share a token of their prefixes and
     pass the length and positional filters; Jaccard is then computed exactly. Lines with equal sets are one
     class and are compared once.
