@@ -172,7 +172,10 @@ def linked_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: doc, text_hash, n_shingles, component (smallest doc reachable by links; NO_ID for null).
+    """One row per row of ``docs``: doc, text_hash, n_shingles, component (smallest doc reachable by links; NO_ID for null), component_hash.
+
+    ``component_hash`` is the text_hash of that document, the smallest one if several have its identifier: with repeated or
+    null identifiers, only both together name one document of the group.
 
     Two documents are linked if the union of their sets of ``k``-word shingles has ``percent`` % of its shingles
     in common. Documents with equal sets are one class from the start. Texts without words have no shingles
@@ -187,16 +190,22 @@ def linked_documents(
     classes = classes_of(units)
     repeated = not units.groupBy("doc", "text_hash").count().filter("count > 1").isEmpty()
     labels = link_classes(signature_rows(classes), Comparison(source, classes, plan, repeated), star_rounds)
-    parts = classes.select("cid", "class", F.col("first.doc").alias("doc"))
+    parts = classes.select("cid", "class", F.struct("first.doc", "first.text_hash").alias("lowest"))
     if labels is not None:
         parts = parts.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-        lowest = parts.groupBy("label").agg(F.min("doc").alias("component"))
-        parts = parts.join(lowest, "label").select("class", "component")
+        lowest = parts.groupBy("label").agg(F.min("lowest").alias("lowest"))
+        parts = parts.select("class", "label").join(lowest, "label").select("class", "lowest")
     else:
-        parts = parts.select("class", F.col("doc").alias("component"))
+        parts = parts.select("class", "lowest")
     return units.select("doc", "text_hash", F.col("n").cast("long").alias("n_shingles"), "class").join(
         parts, "class", "left"
-    ).select("doc", "text_hash", "n_shingles", F.coalesce("component", "doc").alias("component"))
+    ).select(
+        "doc",
+        "text_hash",
+        "n_shingles",
+        F.coalesce("lowest.doc", "doc").alias("component"),
+        F.coalesce("lowest.text_hash", "text_hash").alias("component_hash"),
+    )
 
 
 def ngram_components(docs: DataFrame, percent: int = 80, k: int = 5, **options) -> DataFrame:
@@ -210,10 +219,10 @@ def ngram_components(docs: DataFrame, percent: int = 80, k: int = 5, **options)
 def one_of_each(docs: DataFrame, percent: int = 80, k: int = 5, **options) -> DataFrame:
     """The rows of ``docs``, all columns, without near duplicates: of each component the smallest doc_id stays.
 
-    Documents without words stay. Of rows that repeat identifier and text one stays.
+    Of several documents of a component with that identifier, or all without one, the smallest hash of the text decides. Documents without words stay. Of rows that repeat identifier and text one stays.
     """
     found = linked_documents(docs, percent, k, **options)
-    gone = found.filter("n_shingles > 0 and doc != component").select("doc", "text_hash").distinct()
+    gone = found.filter("n_shingles > 0 and (doc != component or text_hash != component_hash)").select("doc", "text_hash").distinct()
     kept = with_key(docs).join(named(gone), [DOC, TEXT_HASH], "left_anti")
     if not found.groupBy("doc", "text_hash").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates([DOC, TEXT_HASH])
