@@ -20,6 +20,8 @@ GRAM = 8
 RUNS = "bucket long, kind int, doc binary, text_hash binary, start binary, size binary, anchor binary, keys binary"
 RUN_NAMES = ["bucket", "kind", "doc", "text_hash", "start", "size", "anchor", "keys"]
 CHECK, MARK = 0, 1
+#: Windows of an anchor whose count has more bits than that are dealt to buckets one by one.
+HOT_BITS = 10
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -52,19 +54,19 @@ def windows(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     return text, start, grams[place], place, window_hashes(words, size, 2)[at]
 
 
-def _runs(doc, text_hash, start, anchor=None):
-    """First indices and lengths of runs of windows that follow one another in a document (with one anchor, if given)."""
+def _runs(doc, text_hash, start, *same):
+    """First indices and lengths of runs of windows that follow one another in a document and agree in each of ``same``."""
     new = np.ones(len(start), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (text_hash[1:] != text_hash[:-1]) | (start[1:] != start[:-1] + 1)
-    if anchor is not None:
-        new[1:] |= anchor[1:] != anchor[:-1]
+    for x in same:
+        new[1:] |= x[1:] != x[:-1]
     first = np.flatnonzero(new)
     return first, np.diff(np.append(first, len(start)))
 
 
 def covered_words(
     docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text", most_bits: int = 27, per_bucket: int = 50_000,
-    slice_bytes: int = 4_000_000,
+    slice_bytes: int = 4_000_000, hot_bits: int = HOT_BITS,
 ) -> DataFrame:
     """(doc, text_hash, start, words): runs of words covered by a window whose words also start earlier."""
     source = keyed(docs, id_col, text_col)
@@ -89,6 +91,11 @@ def covered_words(
         sketch.repeated_cells(source.select("text").mapInArrow(parts, sketch.PART_TYPE), bits, depth)
     )
 
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from sketch.count_parts(met_anchors(batches))
+
+    classes = spark.sparkContext.broadcast(sketch.count_classes(source.select("text").mapInArrow(counts, sketch.COUNT_TYPE)))
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_of = batch.column("doc").to_numpy(zero_copy_only=False)
@@ -99,7 +106,8 @@ def covered_words(
                 if not keep.any():
                     continue
                 doc, text_hash = docs_of[first:last][text[keep]], hashes_of[first:last][text[keep]]
-                yield from _emitted(doc, text_hash, start[keep], anchor[keep], key[keep], buckets, size)
+                hot = sketch.classes_of(anchor[keep], classes.value) > hot_bits
+                yield from _emitted(doc, text_hash, start[keep], anchor[keep], key[keep], hot, buckets)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -120,13 +128,14 @@ def covered_words(
     )
 
 
-def _emitted(doc, text_hash, start, anchor, key, buckets: int, size: int) -> Iterator[pa.RecordBatch]:
+def _emitted(doc, text_hash, start, anchor, key, hot, buckets: int) -> Iterator[pa.RecordBatch]:
     """Of the windows of a slice: the first place of each, to be checked elsewhere; marks for all later ones.
 
-    So of a window that is everywhere a bucket gets one entry for each slice.
+    So of a window that is everywhere a bucket gets one entry for each slice. Windows are dealt by their anchor, which keeps
+    neighbours in one entry; those of a ``hot`` anchor by their key as well, as only equal windows must meet.
     """
     order = np.lexsort((start, text_hash, doc, key, anchor))
-    doc, text_hash, start, anchor, key = (x[order] for x in (doc, text_hash, start, anchor, key))
+    doc, text_hash, start, anchor, key, hot = (x[order] for x in (doc, text_hash, start, anchor, key, hot))
     new = np.ones(len(doc), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])
     group = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -145,12 +154,13 @@ def _emitted(doc, text_hash, start, anchor, key, buckets: int, size: int) -> Ite
         bucket = (mix(d[first].view(U64)) % U64(buckets)).astype(np.int64)
         rows += _packed(bucket, MARK, d[first], h[first], s[first], length, np.zeros(len(first), U64), None)
 
-    d, h, s, a, k = doc[new], text_hash[new], start[new], anchor[new], key[new]
+    d, h, s, a, k, hot = doc[new], text_hash[new], start[new], anchor[new], key[new], hot[new]
     o = np.lexsort((s, h, d))
-    d, h, s, a, k = d[o], h[o], s[o], a[o], k[o]
-    first, length = _runs(d, h, s, a)
-    bucket = (mix(a[first], 3) % U64(buckets)).astype(np.int64)
-    rows += _packed(bucket, CHECK, d[first], h[first], s[first], length, a[first], (first, k))
+    d, h, s, a, k, hot = d[o], h[o], s[o], a[o], k[o], hot[o]
+    dealt = mix(a, 3)
+    bucket = (np.where(hot, mix(dealt ^ k, 4), dealt) % U64(buckets)).astype(np.int64)
+    first, length = _runs(d, h, s, a, bucket)
+    rows += _packed(bucket[first], CHECK, d[first], h[first], s[first], length, a[first], (first, k))
     columns = list(zip(*rows, strict=True))
     types = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=RUN_NAMES)
@@ -227,7 +237,8 @@ def dedup_substrings(docs: DataFrame, size: int = 20, id_col: str = "doc_id", te
     document of smaller number, or before in the same one. Windows are judged on the input. First pass: every partition
     sketches the anchors of its windows; the merged sketch never estimates less than the true number.
     Second pass: windows whose anchor is estimated once are unique and go no further; the others are grouped
-    exactly, by 128 bits of hashes, in buckets whose number follows the size of the data.
+    exactly, by 128 bits of hashes, in buckets whose number follows the size of the data. Anchors counted more than
+    2 ** ``hot_bits`` times have their windows spread over all buckets; that moves work, never results.
 
     The merged sketch is 2 * 2 ** most_bits bits (32 MB) at most. Beyond some hundred million anchors it lets more
     windows pass, which costs work and loses none. Null and empty texts have no words. Rows that repeat
