@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ROW, texts_of
 
-Item = tuple[int, str, int]  # item_id, normalised text, edit budget
+Item = tuple[int | None, str, int]  # item_id, normalised text, edit budget
 
 def normalise(text: str) -> str:
     return " ".join(text.lower().split())
@@ -63,9 +63,9 @@ class Scanner:
     def __init__(self, items: list[Item]) -> None:
         import ahocorasick
 
-        self.items = {i: (text, budget, Pattern(text)) for i, text, budget in items}
+        self.items = [(item_id, text, budget, Pattern(text)) for item_id, text, budget in items]
         places: dict[str, list[tuple[int, int]]] = {}
-        for i, text, budget in items:
+        for i, (_, text, budget) in enumerate(items):
             for start, end in cut_pieces(len(text), budget):
                 places.setdefault(text[start:end], []).append((i, end))
         self.automaton = ahocorasick.Automaton()
@@ -73,7 +73,7 @@ class Scanner:
             self.automaton.add_word(piece, where)
         self.automaton.make_automaton()
 
-    def matches(self, raw: str) -> list[tuple[int, int, int]]:
+    def matches(self, raw: str) -> list[tuple[int | None, int, int]]:
         """(item_id, edits, end in the normalised text) of the nearest place of every item within its budget."""
         text = normalise(raw)
         if not text:
@@ -81,19 +81,19 @@ class Scanner:
         windows: dict[int, list[tuple[int, int]]] = {}
         for last, where in self.automaton.iter(text):
             for item, end in where:
-                pattern, budget, _ = self.items[item]
+                _, pattern, budget, _ = self.items[item]
                 begin = last + 1 - end - budget
                 windows.setdefault(item, []).append((max(0, begin), min(len(text), begin + len(pattern) + 2 * budget)))
         found = []
         for item, spans in sorted(windows.items()):
-            _, budget, pattern = self.items[item]
+            item_id, _, budget, pattern = self.items[item]
             best = None
             for begin, end in joined(spans):
                 edits, at = pattern.best(text[begin:end])
                 if edits <= budget and (best is None or edits < best[0]):
                     best = (edits, begin + at)
             if best:
-                found.append((item, *best))
+                found.append((item_id, *best))
         return found
 
 
@@ -109,15 +109,24 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def items_of(benchmark: DataFrame, error_rate: float, block_chars: int) -> Iterator[list[Item]]:
     """The benchmark in blocks of about ``block_chars`` characters, so that what tasks hold is bounded."""
-    known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull()
+    known = (
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+        .filter(F.col("text").isNotNull())
+        .mapInArrow(_normalised, "item_id long, text string")
+        .filter("text != ''")
+        .distinct()
     )
     total = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, ceil(total / block_chars))
     for b in range(blocks):
-        part = known.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).groupBy("item_id").agg(F.min("text").alias("text"))
-        items = [(r["item_id"], normalise(r["text"])) for r in part.orderBy("item_id").collect()]
-        yield [(i, text, int(len(text) * error_rate)) for i, text in items if text]
+        part = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text")
+        yield [(r["item_id"], r["text"], int(len(r["text"]) * error_rate)) for r in part.collect()]
+
+
+def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [normalise(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(texts, pa.string())], names=["item_id", "text"])
 
 
 def benchmark_matches(
@@ -136,7 +145,8 @@ def benchmark_matches(
     around each hit Myers' algorithm decides. ``edits`` and ``end_char`` (in the compared text) are those of the nearest place.
 
     Items are a stated query set: they come to the tasks in blocks of bounded size, each against all
-    documents. Null, empty and blank items match nothing, of repeated item numbers the smallest text counts. Null and
+    documents. Rows that differ in number or compared text are different items, so a document may have several rows with one
+    item_id; the item_id of an item without number is null. Null, empty and blank items match nothing. Null and
     empty texts match nothing; repeated rows match alike (``__row`` tells them apart); no rows give no rows; other
     columns are ignored.
     """
