@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_sample, text_slices, texts_of
+from tidemark.llm.common import text_slices, texts_of
 
 #: Code point ranges of scripts (fixed values from the Unicode block list); index 0 is any other script.
 SCRIPTS = [
@@ -117,7 +117,7 @@ def best_path(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.nda
     """
     total = int(lengths.sum())
     if not total:
-        return np.empty(0, np.int8)
+        return np.empty(0, np.int16)
     limit = max(int(lengths.max()), -(-total // 256))
     lane, place, lanes, used = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0, limit + 1
     for i in np.argsort(-lengths, kind="stable"):
@@ -135,7 +135,7 @@ def best_path(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.nda
     fresh[place[lengths > 0], lane[lengths > 0]] = True
     fresh[0] = True
     stays = np.empty((limit, lanes, n), bool)
-    best = np.empty((limit, lanes), np.int8)
+    best = np.empty((limit, lanes), np.int16)
     delta, index = None, np.arange(lanes)
     new_start = fresh.any(1)
     for t in range(limit):
@@ -149,7 +149,7 @@ def best_path(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.nda
                 delta[fresh[t]] = 0
             delta += grid[t]
         best[t] = delta.argmax(1)
-    labels = np.empty((limit, lanes), np.int8)
+    labels = np.empty((limit, lanes), np.int16)
     state = best[-1].astype(np.int64)
     for t in range(limit - 1, 0, -1):
         labels[t] = state
@@ -208,11 +208,17 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame, max_rows: int = 2_000) -> LanguageModel:
-    """A model of the non-null ``lang`` values of about ``max_rows`` rows that are not held out, drawn by a hash of doc_id."""
+    """A model of all non-null ``lang`` values, of about ``max_rows`` rows of each that are not held out, drawn by a hash of doc_id.
+
+    A language with no more rows gives all of them, so however rare it is, it is learned.
+    """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    found = hash_sample(known, max_rows).orderBy("doc_id", "lang", "text").select("text", F.col("lang").cast("string")).toArrow()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000_000)) * F.col("n") < 1_000_000_000 * max_rows
+    sample = known.join(F.broadcast(counts), "lang").filter((F.col("n") <= max_rows) | drawn)
+    found = sample.orderBy("doc_id", "lang", "text").select("text", F.col("lang").cast("string")).toArrow()
     return LanguageModel.fit(found.column("text").to_pylist(), found.column("lang").to_pylist())
 
 
