@@ -1,4 +1,4 @@
-"""Exact duplicates by a tree merge of sorted digest runs. DataFrame functions only."""
+"""Exact duplicates by a tree merge of digest runs, an aggregation for each level. DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -23,9 +23,8 @@ def exact_duplicates(
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Rows form a group if their texts are identical. The texts are read once; afterwards only digests move.
-    Rows are dealt to runs of about ``rows_per_run`` rows. A run is sorted by a 64-bit digest and holds
-    one entry per text: the identifier to keep and the number of rows. In every round ``fan_in`` runs merge
-    into one, so a text with a third of all rows never has more than ``fan_in`` entries (or, in the first
+    Rows are dealt to runs of about ``rows_per_run`` rows. A run holds one entry per text, by its 64-bit digest:
+    the identifier to keep and the number of rows. In every round ``fan_in`` runs merge into one by an aggregation, so a text with a third of all rows never has more than ``fan_in`` entries (or, in the first
     round, the rows of one run) under one key, and each run is itself spread over tasks by its digests.
     An equal digest counts only if length and SHA-256 agree as well. The outcome then goes the same way
     back, from a run to those it was merged from, and at last to the rows.
@@ -52,14 +51,14 @@ def exact_duplicates(
     best = F.max if keep == "largest" else F.min
     present = F.col("doc_id").isNotNull() if keep == "largest" else F.col("doc_id").isNull()
     levels = [
-        _sorted_run(
+        cut(
             rows.groupBy("run", *KEY).agg(best(F.struct(present, "doc_id", ROW)).alias("best"), F.count("*").alias("n"))
         )
     ]
     while runs > 1:
         runs = ceil(runs / fan_in)
         levels.append(
-            _sorted_run(
+            cut(
                 levels[-1]
                 .withColumn("run", F.floor(F.col("run") / fan_in))
                 .groupBy("run", *KEY)
@@ -80,7 +79,3 @@ def exact_duplicates(
         (alone | (F.col(ROW) == F.col(f"best.{ROW}"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
-
-
-def _sorted_run(entries: DataFrame) -> DataFrame:
-    return cut(entries.sortWithinPartitions("run", "digest"))
