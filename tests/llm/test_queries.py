@@ -27,6 +27,8 @@ COLUMNS = {
     "op8": "doc_id item_id edits end_char",
     "op9": "doc_id n_shingles component_id",
     "op10": "doc_id held_out lang_pred score",
+    "op11": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12": "vec_id component n deviation whitened explained identity_error",
 }
 
 

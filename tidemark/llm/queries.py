@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, ngram_join, packing, quality, sharding, substring_dedup
+from tidemark.llm import (
+    conversation_repair,
+    decontamination,
+    embedding_whitening,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+)
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +143,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(documents(spark, sf_dir), 20).drop("kept")
+
+
+@register("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@register("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 8)
