@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import batch_rows, cut
 
 SCALE, SHIFT = 1024, 100_000
-#: Partial sums of tasks meet in that many before they go to the driver.
-BUCKETS = 64
 #: Residual at which an eigenpair counts as exact, as a share of the largest eigenvalue.
 TOLERANCE = 1e-13
 #: Eigenvalues below this share of the largest are zero: there is nothing to whiten along them.
@@ -45,31 +43,21 @@ def matrix_of(column: pa.ListArray, width: int) -> np.ndarray:
 
 
 def summed(vectors: DataFrame, shape: int, kind: str, of_batch: Callable[[pa.ListArray], np.ndarray]) -> np.ndarray:
-    """Sum over all batches of ``of_batch``, an array of ``shape`` numbers: one partial sum per task, then ``BUCKETS`` of them."""
+    """Sum over all batches of ``of_batch``, an array of ``shape`` numbers: one array per task, added place by place by Spark."""
+    element = pa.int64() if kind == "<i8" else pa.float64()
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         held = np.zeros(shape, kind)
         for batch in batches:
             held += of_batch(batch.column(0))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % BUCKETS], pa.int32()), pa.array([held.tobytes()])], ["bucket", "sums"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, any_row = np.zeros(shape, kind), False
-        for batch in batches:
-            for sums in batch.column("sums"):
-                held += np.frombuffer(sums.as_buffer(), kind)
-                any_row = True
-        if any_row:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([held.tobytes()])], ["bucket", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, shape], pa.int32()), pa.array(held, element))], ["sums"])
 
     with batch_rows(vectors.sparkSession, 10_000):
-        found = vectors.select("x").mapInArrow(partial, "bucket int, sums binary")
-        rows = found.repartition(BUCKETS, "bucket").mapInArrow(merge, "bucket int, sums binary").collect()
+        parts = vectors.select("x").mapInArrow(partial, f"sums array<{'long' if kind == '<i8' else 'double'}>")
+        added = parts.select(F.posexplode("sums").alias("at", "part")).groupBy("at").agg(F.sum("part").alias("total")).collect()
     out = np.zeros(shape, kind)
-    for r in rows:
-        out += np.frombuffer(bytes(r["sums"]), kind)
+    for r in added:
+        out[r["at"]] = r["total"]
     return out
 
 
@@ -93,11 +81,16 @@ class Spectrum:
         return (x - self.mean) @ (self.vectors / np.sqrt(self.values))
 
 
-def filtered(apply: Callable[[np.ndarray], np.ndarray], block: np.ndarray, degree: int, top: float, cutoff: float) -> np.ndarray:
-    """The Chebyshev polynomial of ``degree`` that is small on [0, cutoff], 1 at ``top``, of the operator, applied to the block."""
+def filtered(
+    apply: Callable[[np.ndarray], np.ndarray], block: np.ndarray, applied: np.ndarray, degree: int, top: float, cutoff: float
+) -> np.ndarray:
+    """The Chebyshev polynomial of ``degree`` that is small on [0, cutoff], 1 at ``top``, of the operator, applied to the block.
+
+    ``applied`` is the operator on the block, known already: a degree of m takes m - 1 passes.
+    """
     half = cutoff / 2
     sigma = first = half / (top - half)
-    before, now = block, (apply(block) - half * block) * (sigma / half)
+    before, now = block, (applied - half * block) * (sigma / half)
     for _ in range(degree - 1):
         after = 1 / (2 / first - sigma)
         before, now = now, (apply(now) - half * now) * (2 * after / half) - (sigma * after) * before
@@ -106,7 +99,7 @@ def filtered(apply: Callable[[np.ndarray], np.ndarray], block: np.ndarray, degre
 
 
 def leading_eigenpairs(
-    apply: Callable[[np.ndarray], np.ndarray], width: int, count: int, guard: int = 24, degree: int = 10, most_rounds: int = 100, seed: int = 7
+    apply: Callable[[np.ndarray], np.ndarray], width: int, count: int, guard: int = 32, degree: int = 8, most_rounds: int = 100, seed: int = 7
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """(values, vectors, residual) of the ``count`` largest eigenpairs of a positive semidefinite operator, certified.
 
@@ -134,7 +127,7 @@ def leading_eigenpairs(
             best = values[:count], block[:, :count], residual
         if residual <= TOLERANCE:
             return best
-        block = filtered(apply, block, degree, values[0], max(values[-1], values[0] * 1e-9))
+        block = filtered(apply, block, applied, degree, values[0], max(values[-1], values[0] * 1e-9))
     raise RuntimeError(f"eigenpairs are not certified after {most_rounds} rounds: residual {best[2]:.1e}")
 
 
