@@ -29,6 +29,7 @@ COLUMNS = {
     "op10": "doc_id held_out lang_pred score",
     "op11": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     "op12": "vec_id component n deviation whitened explained identity_error",
+    "op13": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
 }
 
 

@@ -17,6 +17,7 @@ from tidemark.llm import (
     line_dedup,
     ngram_join,
     packing,
+    pii,
     quality,
     sharding,
     substring_dedup,
@@ -153,3 +154,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_embedding_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 8)
+
+
+@register("op13_personal_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, sf_dir))
