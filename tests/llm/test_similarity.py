@@ -101,8 +101,8 @@ def line_report(rows, percent=80):
     assert all(len(x) == 1 for x in hashes.values() if x is not hashes.get(LAST))
     for d, t in order:
         for i, line in enumerate(t.split("\n")):
-            if len(words_of(line)) >= 5:
-                s = shingle_set(line)
+            s = shingle_set(line)
+            if s:
                 if any(s == x or linked(s, x, percent) for x in lines):
                     gone[d, t].add(i)
                 lines.append(s)

@@ -82,10 +82,14 @@ def _within_quota(wants: DataFrame, quota: list[int], placed: DataFrame | None)
 def fill(rows: DataFrame, room: list[int]) -> DataFrame:
     """(__row, label): ``rows`` (cut: __row) dealt to labels by rank until each one's ``room`` is used."""
     ranks = ranked(rows.withColumn("__all", F.lit(0)), ["__all"], [ROW], "rank")
-    label, end = F.lit(None).cast("int"), 0
-    for shard, places in enumerate(room):
+    ends, end = [], 0
+    for places in room:
         end += max(0, places)
-        label = F.coalesce(label, F.when(F.col("rank") < end, F.lit(shard)))
+        ends.append(end)
+    # Places of a label end where those of the next begin: a binary search in a constant array, however many labels.
+    table = F.array(*[F.lit(e).cast("long") for e in ends])
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(len(ends).bit_length()))])
+    label = F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.get(table, at + p - 1) <= F.col("rank"), at + p).otherwise(at))
     return ranks.select(ROW, label.alias("label"))
 
 
