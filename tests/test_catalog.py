@@ -19,7 +19,8 @@ CUT = [
     "rolling_count", "rolling_max", "rolling_max_by", "most_active_user", "every_nth_average", "ttl_count",
     "periodic_totals", "watermark_trace", "union_watermark", "late_refire", "late_side_output", "late_dropped",
     "sequence_rules", "pattern_strict", "pattern_times", "pattern_within", "pattern_timeout", "state_machine",
-    "buffered_batches", "interval_join", "reconcile",
+    "buffered_batches", "interval_join", "reconcile", "state_machine_table", "rules_in_force", "changelog_retract",
+    "window_cogroup_items",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")

@@ -164,3 +164,20 @@ def test_sql_over_a_csv_view(spark, tmp_path):
     assert rows(top) == [("Bob", 8, 1), ("Mary", 3, 2)]
     hourly = spark.sql("SELECT user, count(1) AS c FROM click_table GROUP BY user, window(et, '5 seconds')")
     assert rows(hourly) == [("Alice", 1), ("Bob", 1), ("Bob", 2), ("Bob", 5), ("Mary", 3)]
+
+
+def test_declared_table(spark, tmp_path):
+    """One declaration for stored rows and for a stream, with computed event time and a watermark."""
+    from tidemark.sources.declared import CsvTable
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("Mary, ./home, 1999\nBob,./cart,  61000\nbad line\n")
+    clicks = CsvTable("user string, url string, ms bigint", {"et": "timestamp_seconds(floor(ms / 1000))", "late": "et < timestamp'1970-01-01 00:01:00'"}, "et", "1 second")
+    path = str(tmp_path / "in")
+    stored = clicks.register(spark, "declared", path)
+    assert [tuple(r) for r in spark.sql("SELECT user, url, unix_millis(et), late FROM declared ORDER BY ms NULLS LAST").collect()] == [
+        ("Mary", "./home", 1000, True), ("Bob", "./cart", 61000, False), ("bad line", None, None, None)
+    ]
+    streamed = clicks.stream(spark, path)
+    assert streamed.isStreaming and streamed.schema.simpleString() == stored.schema.simpleString()
+    assert "EventTimeWatermark" in streamed._jdf.queryExecution().analyzed().toString()

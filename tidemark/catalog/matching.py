@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, table
-from tidemark.operators import patterns
+from tidemark.operators import machine, patterns
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,3 +103,43 @@ def state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("event_type") == "error"
     alerts = patterns.alerts_by_arrival(_events(spark, sf_dir), "user_id", "event_id", failed)
     return alerts.select("event_id", "user_id")
+
+
+#: A buyer's way: (state, event) -> (next state, whether to alert). Any other event leads back to idle.
+WAY = {
+    ("idle", "view"): ("looked", False),
+    ("looked", "view"): ("looked", False),
+    ("looked", "click"): ("chosen", False),
+    ("looked", "error"): ("failed", False),
+    ("chosen", "click"): ("chosen", False),
+    ("chosen", "view"): ("looked", False),
+    ("chosen", "purchase"): ("bought", True),
+    ("chosen", "error"): ("failed", True),
+    ("failed", "error"): ("failed", True),
+    ("failed", "view"): ("looked", False),
+    ("bought", "purchase"): ("bought", True),
+    ("bought", "view"): ("looked", False),
+}
+WAY_ROWS = ", ".join(f"('{s}', '{e}', '{n}', {str(a).lower()})" for (s, e), (n, a) in WAY.items())
+
+
+@query(
+    "state_machine_table",
+    f"""
+    WITH RECURSIVE way(state, symbol, next, alert) AS (VALUES {WAY_ROWS}),
+    placed AS (
+      SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i
+      FROM events),
+    walk AS (
+      SELECT event_id, user_id, i, coalesce(next, 'idle') AS state, coalesce(alert, false) AS alert
+      FROM placed LEFT JOIN way ON way.state = 'idle' AND symbol = event_type WHERE i = 1
+      UNION ALL
+      SELECT p.event_id, p.user_id, p.i, coalesce(next, 'idle'), coalesce(way.alert, false)
+      FROM walk w JOIN placed p ON p.user_id IS NOT DISTINCT FROM w.user_id AND p.i = w.i + 1
+      LEFT JOIN way ON way.state = w.state AND symbol = p.event_type)
+    SELECT event_id, user_id, state, alert FROM walk
+    """,
+)
+def state_machine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ran = machine.run_machine(_events(spark, sf_dir), "user_id", ["ts", "event_id"], "event_type", WAY, "idle")
+    return ran.select("event_id", "user_id", "state", "alert")

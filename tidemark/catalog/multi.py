@@ -131,3 +131,50 @@ def sequence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES ('signup', 'click'), ('click', 'purchase') AS r(action1, action2)")
     events = table(spark, sf_dir, "events")
     return joins.sequence_rules(events, rules, "user_id", "event_id", "event_type")
+
+
+@query(
+    "rules_in_force",
+    """
+    WITH steps AS (
+      SELECT user_id, event_id, event_type AS action2,
+             lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS action1
+      FROM events WHERE event_type <> 'signup'),
+    rules AS (
+      SELECT event_id AS rule_event_id,
+             CASE event_id % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'view' END AS first,
+             CASE event_id % 3 WHEN 0 THEN 'click' WHEN 1 THEN 'purchase' ELSE 'error' END AS second
+      FROM events WHERE event_type = 'signup')
+    SELECT user_id, event_id, action1, action2, rule_event_id
+    FROM steps ASOF JOIN rules ON event_id >= rule_event_id
+    WHERE action1 = first AND action2 = second
+    """,
+)
+def rules_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each signup replaces the rule that the other events are held against from then on."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    turn = F.pmod("event_id", F.lit(3))
+    rules = events.where(F.col("event_type") == "signup").select(
+        "event_id",
+        F.when(turn == 1, "click").otherwise("view").alias("action1"),
+        F.when(turn == 0, "click").when(turn == 1, "purchase").otherwise("error").alias("action2"),
+    )
+    actions = events.where(F.col("event_type") != "signup")
+    return joins.rules_in_force(actions, rules, "user_id", "event_id", "event_type", "event_id")
+
+
+@query(
+    "window_cogroup_items",
+    """
+    SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts) AS window_start,
+           CASE event_type WHEN 'click' THEN 'left' ELSE 'right' END AS side,
+           row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 6 HOUR, ts), event_type
+                              ORDER BY ts, event_id) - 1 AS position,
+           event_id
+    FROM events WHERE event_type IN ('click', 'purchase')
+    """,
+)
+def window_cogroup_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    clicks, purchases = (events.where(F.col("event_type") == kind) for kind in ("click", "purchase"))
+    return joins.window_cogroup_items(clicks, purchases, "user_id", "ts", "6 hours", "event_id", tie="event_id")

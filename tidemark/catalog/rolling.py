@@ -160,3 +160,29 @@ def periodic_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ttl_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     return keyed_state.ttl_count(events, "user_id", "ts", "event_id", "6 hours")
+
+
+@query(
+    "changelog_retract",
+    """
+    WITH counted AS (
+      SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS cnt FROM events)
+    SELECT event_id, user_id, CASE WHEN cnt = 1 THEN '+I' ELSE '+U' END AS kind, cnt FROM counted
+    UNION ALL
+    SELECT event_id, user_id, '-U', cnt - 1 FROM counted WHERE cnt > 1
+    """,
+)
+def changelog_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.count_changelog(table(spark, sf_dir, "events"), "user_id", "event_id")
+
+
+@query(
+    "changelog_histogram",
+    """
+    SELECT cnt, count(*) AS keys FROM (SELECT count(*) AS cnt FROM events GROUP BY user_id) GROUP BY cnt
+    """,
+)
+def changelog_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate over the changelog of another: users by their count of events."""
+    changes = rolling.count_changelog(table(spark, sf_dir, "events"), "user_id", "event_id")
+    return rolling.keys_per_count(changes)

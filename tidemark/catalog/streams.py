@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog.registry import query
+from tidemark.catalog.registry import query, table
 from tidemark.operators import topn, windows
 from tidemark.session import scratch_path
 from tidemark.sinks import writers
 from tidemark.sources import files
+from tidemark.sources.declared import CsvTable
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,3 +74,34 @@ def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_window_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.top_n_per(_hourly(spark, sf_dir), ["window_start", "window_end"], ["event_type"], 2)
+
+
+CLICKS = CsvTable(
+    "user_id bigint, event_type string, millis bigint",
+    {"et": "timestamp_seconds(floor(millis / 1000))"},
+    event_time="et",
+    delay="1 second",
+)
+
+
+@query(
+    "csv_window_topn",
+    """
+    WITH counts AS (
+      SELECT user_id, count(*) AS cnt, time_bucket(INTERVAL 1 HOUR, ts) AS window_start
+      FROM events GROUP BY ALL)
+    SELECT user_id, cnt, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+           row_number() OVER (PARTITION BY window_start ORDER BY cnt DESC, user_id) AS row_num
+    FROM counts QUALIFY row_num <= 2
+    """,
+)
+def csv_window_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CSV with blanks after the commas, read by a declaration with computed event time."""
+    path = scratch_path(spark, "clicks-csv")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    line = F.concat_ws(", ", F.col("user_id").cast("string"), "event_type", millis)
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    CLICKS.register(spark, "declared_clicks", path)
+    clicks = spark.table("declared_clicks")
+    best = topn.window_top_n(clicks, "et", "1 hour", "user_id", 2)
+    return best.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})

@@ -220,3 +220,29 @@ def sequence_rules(
         actions.select(key, arrival, action), [key], [arrival], {"action1": (F.col(action), 1)}
     ).withColumnRenamed(action, "action2")
     return steps.join(rules, ["action1", "action2"])
+
+
+def rules_in_force(
+    actions: DataFrame, rules: DataFrame, key: str, arrival: str, action: str, rule_arrival: str, rule_id: str | None = None
+) -> DataFrame:
+    """Actions that, with the key's action before them, match the rule in force when they arrive.
+
+    In force is the rule (action1, action2) that arrived last at or before the action, for all keys alike; before the
+    first one nothing matches. Rules and actions become one order, along which the newest rule is carried as a
+    running value, so no action is joined with the rules it could have met. Of rules that arrive together the one with the
+    larger actions counts. Rules without an arrival are never in force; rows without a key are a key's like any other.
+    """
+    steps = neighbours(
+        actions.select(key, arrival, action), [key], [arrival], {"action1": (F.col(action), 1)}
+    ).withColumnRenamed(action, "action2")
+    met = steps.where(F.col("action1").isNotNull() & F.col("action2").isNotNull() & F.col(arrival).isNotNull())
+    parts = [F.col(rule_arrival).alias("at"), "action1", "action2", *([F.col(rule_id).alias("id")] if rule_id else [])]
+    told = rules.where(F.col(rule_arrival).isNotNull()).select(
+        F.col(rule_arrival).alias("__arrived"), F.lit(0).alias("__side"), F.struct(*parts).alias("__rule")
+    )
+    asked = met.select(F.col(arrival).alias("__arrived"), F.lit(1).alias("__side"), key, "action1", "action2")
+    both = asked.unionByName(told, allowMissingColumns=True)
+    carried = running(both, [], ["__arrived", "__side"], __force=highest(F.col("__rule")))
+    held = (F.col("__side") == 1) & (F.col("__force.action1") == F.col("action1")) & (F.col("__force.action2") == F.col("action2"))
+    names = [F.col("__force.at").alias(f"rule_{rule_arrival}")] + ([F.col("__force.id").alias(f"rule_{rule_id}")] if rule_id else [])
+    return carried.where(held).select(key, F.col("__arrived").alias(arrival), "action1", "action2", *names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import millis
@@ -68,3 +68,28 @@ def every_nth_average(df: DataFrame, key: str, arrival: str, ts: str, n: int = 5
     return out.where(F.col("cnt") % n == 0).select(
         key, arrival, "cnt", F.expr("__sum div cnt").alias("avg_millis")
     )
+
+
+def count_changelog(df: DataFrame, key: str, arrival: str) -> DataFrame:
+    """(arrival, key, kind, cnt): the changes that each row makes to the count of its key.
+
+    A key's first row inserts its count (+I). Any other withdraws the count that held before (-U) and gives the
+    new one (+U), so whatever is computed from the changes can take back what no longer holds: see ``signed``.
+    """
+    old, new = F.col("cnt") - 1, F.col("cnt")
+    changes = F.when(
+        new == 1, F.array(F.struct(F.lit("+I").alias("kind"), new.alias("cnt")))
+    ).otherwise(F.array(F.struct(F.lit("-U").alias("kind"), old.alias("cnt")), F.struct(F.lit("+U").alias("kind"), new.alias("cnt"))))
+    counted = rolling_count(df.select(key, arrival), key, arrival)
+    return counted.select(arrival, key, F.explode(changes).alias("__change")).select(arrival, key, "__change.*")
+
+
+def signed(kind: str = "kind") -> Column:
+    """1 for a change that adds a row and -1 for one that withdraws it."""
+    return F.when(F.col(kind).startswith("-"), -1).otherwise(1)
+
+
+def keys_per_count(changes: DataFrame) -> DataFrame:
+    """How many keys have each count, from a changelog alone: withdrawn counts are taken off again."""
+    held = changes.groupBy("cnt").agg(F.sum(signed()).alias("keys"))
+    return held.where(F.col("keys") > 0)

@@ -59,7 +59,7 @@ def _local(spec: Running, ordered: WindowSpec) -> Column:
     return F.coalesce(value, F.lit(0)) if spec.kind == "sum" else value
 
 
-def _attach(rows: DataFrame, carry: DataFrame, keys: list[str], segments: Segments) -> DataFrame:
+def attach(rows: DataFrame, carry: DataFrame, keys: list[str], segments: Segments) -> DataFrame:
     """Join the per-segment table back; it is broadcast while its known row count is small."""
     renamed = carry.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
@@ -99,7 +99,7 @@ def extend(
         *[AGGREGATE[s.kind](f"__sum_{n}").over(earlier).alias(f"__carry_{n}") for n, s in columns.items()],
     )
     combined = {n: _combine(s.kind, F.col(f"__carry_{n}"), F.col(n)) for n, s in columns.items()}
-    joined = _attach(local, carry, keys, segments).withColumns(combined)
+    joined = attach(local, carry, keys, segments).withColumns(combined)
     return Segments(joined.drop(*[f"__carry_{n}" for n in columns]), segments.count)
 
 
@@ -139,7 +139,7 @@ def look_back(
         n: F.when(F.col(LOCAL_ROW) > k, F.col(n)).otherwise(F.get(F.col(CARRIED), place[n])["__item"][n])
         for n, (_, k) in columns.items()
     }
-    joined = _attach(local, carry, keys, segments).withColumns(picked)
+    joined = attach(local, carry, keys, segments).withColumns(picked)
     return Segments(joined.drop(LOCAL_ROW, CARRIED), segments.count)
 
 
