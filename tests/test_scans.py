@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.plans.scans import extend, highest, look_back, lowest, neighbours, running, total
+from tidemark.plans import skew
 from tidemark.plans.skew import hot_keys, segmented
 
 
@@ -76,8 +77,8 @@ def test_sampled_hot_keys(spark):
     plain = running(df, ["k"], ["id"], n=total(F.lit(1)))
     spark.conf.set("spark.tidemark.segmentRows", "5000")
     try:
-        hot = hot_keys(df, ["k"])
-        assert [r.k for r in hot] == [0] and 60_000 < hot[0]["__rows"] < 150_000
+        hot = hot_keys(df, ["k"]).frame.collect()
+        assert [r["__key_k"] for r in hot] == [0] and 60_000 < hot[0]["__rows"] < 150_000
         cut = segmented(df, ["k"], ["id"])
         sizes = [r["count"] for r in cut.frame.where("k = 0").groupBy("__segment").count().collect()]
         assert sum(sizes) == 100_000 and len(sizes) > 10 and max(sizes) < 15_000
@@ -109,3 +110,22 @@ def test_rows_of_one_time_are_parted(spark, tiny_segments):
     assert len(sizes) > 20 and max(sizes) <= 14
     counted = running(df, ["k"], ["ts", "id"], n=total(F.lit(1)))
     assert rows(counted, "id", "n") == [(i, i + 1) for i in range(300)]
+
+
+def test_cuts_without_a_limit(spark, tiny_segments, monkeypatch):
+    """Keys and cut points beyond what a plan holds as constants, and keys with more segments than one cut makes."""
+    df = spark.range(1500).select(F.when(F.col("id") < 900, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 30).cast("string"))).alias("k"), F.col("id").alias("ts"), "id")
+    spark.conf.unset("spark.tidemark.segmentRows")
+    plain = rows(running(df, ["k"], ["ts", "id"], n=total(F.lit(1)), s=highest(F.struct("id", "k"), before=True)))
+    every = rows(running(df, [], ["ts", "id"], reverse=True, n=total(F.lit(1))))
+    spark.conf.set("spark.tidemark.segmentRows", "7")
+    monkeypatch.setattr(skew, "CONSTANTS", 5)
+    monkeypatch.setattr(skew, "COARSE", 8)
+    cut = segmented(df, ["k"], ["ts", "id"])
+    assert hot_keys(df, ["k"]).count == 31
+    sizes = [tuple(r) for r in cut.frame.groupBy("k", "__segment").agg(F.count("*"), F.min("id"), F.max("id")).orderBy("k", "__segment").collect()]
+    assert max(n for _, _, n, _, _ in sizes) <= 28 and max(s for _, s, *_ in sizes) < cut.top
+    assert len([1 for k, *_ in sizes if k == "hot"]) > 60
+    assert all(a[4] < b[3] for a, b in zip(sizes, sizes[1:]) if a[0] == b[0])
+    assert rows(running(df, ["k"], ["ts", "id"], n=total(F.lit(1)), s=highest(F.struct("id", "k"), before=True))) == plain
+    assert rows(running(df, [], ["ts", "id"], reverse=True, n=total(F.lit(1)))) == every

@@ -48,11 +48,11 @@ def run_machine(df: DataFrame, key: str, order: list[str], symbol: str, table: T
     if cut.count:
         at = [key, SEGMENT]
         maps = _segment_maps(coded.where(HOT).select(*dict.fromkeys([*at, *order, "__code"])), at, order, step)
-        if cut.count > FAN:
+        if cut.top > FAN:
             ensure_checkpoint_dir(df.sparkSession)
             maps = maps.checkpoint()
         every = F.array(*[F.lit(s).cast("long") for s in range(len(states))])
-        entering = composed(maps, [key], SEGMENT, "__map", then, every, cut.count)
+        entering = composed(maps, [key], SEGMENT, "__map", then, every, cut.top)
         entering = entering.select(*at, F.get("__before", number[start]).alias("__enter"))
         coded = attach(coded, entering, [key], cut)
     else:

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.plans.skew import BROADCAST_ROWS, HOT, SEGMENT, Segments, segmented
+from tidemark.plans.skew import HOT, SEGMENT, HotKeys, Segments, segmented
 
 LOCAL_ROW = "__row"
 CARRIED = "__carried"
@@ -59,8 +60,18 @@ def _local(spec: Running, ordered: WindowSpec) -> Column:
     return F.coalesce(value, F.lit(0)) if spec.kind == "sum" else value
 
 
+#: A carried table is broadcast up to that many rows of fixed width (some 100 bytes each), or a hundredth of them of any width.
+BROADCAST_ROWS = 100_000
+
+
+def _fixed_width(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_fixed_width(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType))
+
+
 def attach(rows: DataFrame, carry: DataFrame, keys: list[str], segments: Segments) -> DataFrame:
-    """Join the per-segment table back; it is broadcast while its known row count is small."""
+    """Join the per-segment table back; it is broadcast while its size is known to be small."""
     renamed = carry.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         F.col(SEGMENT).alias("__at"),
@@ -69,7 +80,7 @@ def attach(rows: DataFrame, carry: DataFrame, keys: list[str], segments: Segment
     condition = F.col(SEGMENT) == F.col("__at")
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
-    if segments.count <= BROADCAST_ROWS:
+    if segments.count <= (BROADCAST_ROWS if _fixed_width(carry.schema) else BROADCAST_ROWS // 100):
         renamed = F.broadcast(renamed)
     return rows.join(renamed, condition, "left").drop("__at", *[f"__key_{k}" for k in keys])
 
@@ -100,7 +111,7 @@ def extend(
     )
     combined = {n: _combine(s.kind, F.col(f"__carry_{n}"), F.col(n)) for n, s in columns.items()}
     joined = attach(local, carry, keys, segments).withColumns(combined)
-    return Segments(joined.drop(*[f"__carry_{n}" for n in columns]), segments.count)
+    return segments._replace(frame=joined.drop(*[f"__carry_{n}" for n in columns]))
 
 
 def look_back(
@@ -140,7 +151,7 @@ def look_back(
         for n, (_, k) in columns.items()
     }
     joined = attach(local, carry, keys, segments).withColumns(picked)
-    return Segments(joined.drop(LOCAL_ROW, CARRIED), segments.count)
+    return segments._replace(frame=joined.drop(LOCAL_ROW, CARRIED))
 
 
 def running(
@@ -148,7 +159,7 @@ def running(
     keys: list[str],
     order: list[str],
     reverse: bool = False,
-    hot: list[Row] | None = None,
+    hot: HotKeys | None = None,
     **columns: Running,
 ) -> DataFrame:
     """``extend`` on rows that are not cut yet. ``hot`` names the hot keys if they are known."""
