@@ -88,10 +88,30 @@ def test_combination_prefixes_share_a_signature(frequent):
             bits = {int(t): np.uint64(t % np.uint64(50)) << np.uint64(58) for t in universe}
             both = [np.sort(np.array([t | bits[int(t)] for t in s], np.uint64)) for s in (a, b)]
             sizes = np.array([len(a), len(b)])
-            unit, sig, _, _ = make(np.concatenate(both), sizes, np.array([0, len(a), len(a) + len(b)]))
+            unit, sig, *_ = make(np.concatenate(both), sizes, np.array([0, len(a), len(a) + len(b)]))
             assert set(sig[unit == 0]) & set(sig[unit == 1])
 
 
+def grouped(make_docs, kind):
+    """Texts that share a passage and are not similar, or near copies around the threshold."""
+    rng = random.Random(11)
+    if kind == "passage":
+        passage = sentence(rng, 20)
+        return make_docs([f"{sentence(rng, rng.randint(4, 9))} {passage}" for _ in range(500)] + [passage] * 3)
+    base = sentence(rng, 120)
+    return make_docs([edited(rng, base, rng.randint(0, 6)) for _ in range(400)])
+
+
+@pytest.mark.parametrize("kind", ["passage", "copies"])
+@pytest.mark.parametrize("star_rounds", [0, 3])
+def test_large_groups(make_docs, kind, star_rounds):
+    """Many different sets under one signature, similar or not, against all pairs."""
+    docs = grouped(make_docs, kind)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = ngram_join.ngram_components(docs, star_rounds=star_rounds).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == components(rows, 80)
+
+
 def line_report(rows, percent=80):
     order = sorted({(LAST if d is None else d, t or "") for d, t in rows})
     lines, gone = [], defaultdict(set)

@@ -18,6 +18,7 @@ from tidemark.llm.shingles import (
     keyed,
     may_reach,
     named,
+    not_too_many_own,
     prefix_length,
     signature_rows,
     signature_units,
@@ -63,7 +64,7 @@ def combination_prefixes(percent: int, frequent_bits: int):
         rare = (tokens >> U64(TOKEN_BITS)) < U64(frequent_bits)
         tokens = tokens & U64((1 << TOKEN_BITS) - 1)
         alone = rare | (sizes[units] <= SMALL)
-        found = [(units[alone], mix(tokens[alone], 5), place[alone])]
+        found = [(units[alone], mix(tokens[alone], 5), place[alone], rare[alone])]
         tokens, units, place = tokens[~rare], units[~rare], place[~rare]
         for below in (0, 1):
             m = extension(group - below)
@@ -78,13 +79,13 @@ def combination_prefixes(percent: int, frequent_bits: int):
                     break
                 first, second = np.flatnonzero(same), np.flatnonzero(same) + ahead
                 pair = mix(t[first], 7) + mix(t[second], 8) + (group[u[first]] - below + 2).astype(U64) * U64(0x9E3779B97F4A7C15)
-                found.append((u[first], mix(pair, 9), np.zeros(len(first), p.dtype)))
+                found.append((u[first], mix(pair, 9), np.zeros(len(first), p.dtype), np.zeros(len(first), bool)))
         # Signatures show a prefix token by token only if none of its tokens is frequent.
         shown = most.copy()
         shown[units] = 0
-        unit, sig, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        unit, sig, place, single = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(unit, kind="stable")
-        return unit[order], sig[order], place[order], shown
+        return unit[order], sig[order], place[order], shown, single[order]
 
     return signatures
 
@@ -112,11 +113,14 @@ def merged_labels(edges: DataFrame) -> DataFrame:
 def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> DataFrame | None:
     """(cid, label) of the classes that are linked to another; None without any link.
 
-    ``rows``: sig, cid, n, place. In a star round each signature's smallest class is compared with the
-    signature's other classes and then leaves it, so work follows the rows. Classes that are already connected are
-    not compared again, and a signature whose classes are all connected is done. After ``star_rounds`` what is left is
-    compared in pairs.
+    ``rows``: sig, cid, n, place, own. In a star round one class of each signature, drawn by a hash so that signatures of
+    the same classes draw different ones, is compared with the signature's other classes and then leaves it, so work follows the
+    rows. Classes that are already connected are not compared again, and a signature whose classes are all connected is done. After
+    ``star_rounds`` what is left is compared in pairs of which at least one class has few enough tokens of its own; a
+    signature without such a class is done.
     """
+    percent = compare.plan.percent
+    rows = rows.withColumn("light", 100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
     labels = tested = None
     for turn in range(star_rounds + 1):
         if labels is not None:
@@ -124,23 +128,32 @@ def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> Data
         else:
             rows = rows.withColumn("label", F.col("cid"))
         hubs = rows.groupBy("sig").agg(
-            F.min(F.struct("cid", "n", "place", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
+            F.min_by(F.struct("cid", "n", "place", "own", "label"), F.xxhash64("sig", "cid")).alias("hub"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.max("light").alias("any"),
         )
-        rows = cut(rows.join(hubs.filter("low != high").drop("low", "high"), "sig"))
+        rows = cut(rows.join(hubs.filter("low != high and any").drop("low", "high", "any"), "sig"))
         if rows.isEmpty():
             break
-        names = {"cid": "b", "n": "n_b", "place": "place_b", "label": "label_b"}
+        names = {"cid": "b", "n": "n_b", "place": "place_b", "own": "own_b", "label": "label_b", "light": "light_b"}
         right = [F.col(c).alias(n) for c, n in names.items()]
         if turn < star_rounds:
-            hub = {"cid": "a", "n": "n_a", "place": "place_a", "label": "label_a"}
+            hub = {"cid": "a", "n": "n_a", "place": "place_a", "own": "own_a", "label": "label_a"}
             met = rows.select(*[F.col(f"hub.{c}").alias(n) for c, n in hub.items()], *right)
         else:
-            left = rows.select("sig", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in names])
-            met = left.join(rows.select("sig", *right), "sig").filter("a < b")
+            left = rows.filter("light").select("sig", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in names])
+            met = left.join(rows.select("sig", *right), "sig").filter("a < b or not light_b")
+        first = F.col("a") < F.col("b")
         pairs = (
             met.filter((F.col("label_a") != F.col("label_b")) & (F.col("a") != F.col("b")))
-            .filter(may_reach(compare.plan.percent, "n_a", "place_a", "n_b", "place_b"))
-            .select("a", "b", "label_a", "label_b")
+            .filter(may_reach(percent, "n_a", "place_a", "n_b", "place_b") & not_too_many_own(percent, "n_a", "own_a", "n_b", "own_b"))
+            .select(
+                F.least("a", "b").alias("a"),
+                F.greatest("a", "b").alias("b"),
+                F.when(first, F.col("label_a")).otherwise(F.col("label_b")).alias("label_a"),
+                F.when(first, F.col("label_b")).otherwise(F.col("label_a")).alias("label_b"),
+            )
             .distinct()
         )
         if tested is not None:
@@ -189,7 +202,7 @@ def linked_documents(
     units = signature_units(source, plan, combination_prefixes(percent, frequent_bits), all_units=True)
     classes = classes_of(units)
     repeated = not units.groupBy("doc", "text_hash").count().filter("count > 1").isEmpty()
-    labels = link_classes(signature_rows(classes), Comparison(source, classes, plan, repeated), star_rounds)
+    labels = link_classes(signature_rows(classes, "own"), Comparison(source, classes, plan, repeated), star_rounds)
     parts = classes.select("cid", "class", F.struct("first.doc", "first.text_hash").alias("lowest"))
     if labels is not None:
         parts = parts.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))

@@ -22,8 +22,8 @@ TOKEN_BITS = 58
 NO_ID = (1 << 63) - 1
 
 #: A unit of a document: its place, class, size, the length of the prefix that its signatures show in full (or
-#: 0), and its signatures with their place in the set's order.
-UNIT = "doc long, text_hash long, line int, class binary, n int, prefix int, sigs array<long>, places array<int>"
+#: 0), how many tokens of its prefix no other prefix has, and its signatures with their place in the set's order.
+UNIT = "doc long, text_hash long, line int, class binary, n int, prefix int, own int, sigs array<long>, places array<int>"
 #: Documents asked for by name are broadcast up to this number (some 30 bytes each), and joined by a shuffle beyond it.
 BROADCAST_NAMES = 300_000
 
@@ -160,7 +160,8 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
     """Rows of UNIT. Signatures that no other unit has, by a count-min sketch over all of them, are left out.
 
     ``signatures(tokens, sizes, offsets)`` gives (unit, signature, place) of the units of a slice, units ascending,
-    and the prefix length of each unit. Units without any remaining signature are left out as well, unless ``all_units``.
+    and the prefix length of each unit; then, if given, which of the signatures stand for one token that every unit with it in its
+    prefix shows alone. Units without any remaining signature are left out as well, unless ``all_units``.
     """
     classes, total = token_classes(source, plan)
     bits, depth = sketch.width_bits(total * (100 - plan.percent) // 100 + 1), 2
@@ -178,8 +179,9 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, units in plan.chunks(batches, classes.value):
-            unit, sig, place, prefix = sigs_of(units)
+            unit, sig, place, prefix, *alone = sigs_of(units)
             keep = sketch.met_twice(sig, found.value, bits)
+            own = np.bincount(unit[~keep & alone[0]] if alone else unit[:0], minlength=len(units.text))
             unit, sig, place = unit[keep], sig[keep], place[keep]
             sizes = np.diff(units.offsets)
             rows = np.arange(len(sizes)) if all_units else np.unique(unit)
@@ -198,18 +200,19 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
                     pa.array([names[r] for r in rows], pa.binary()),
                     pa.array(sizes[rows].astype(np.int32)),
                     pa.array(prefix[rows].astype(np.int32)),
+                    pa.array(own[rows].astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(place.astype(np.int32))),
                 ],
-                names=["doc", "text_hash", "line", "class", "n", "prefix", "sigs", "places"],
+                names=["doc", "text_hash", "line", "class", "n", "prefix", "own", "sigs", "places"],
             )
 
     return cut(source.mapInArrow(emit, UNIT))
 
 
 def classes_of(units: DataFrame) -> DataFrame:
-    """(cid, class, first, rows, n, prefix, sigs, places), cut: the classes of ``units``, their first unit and number of units."""
-    same = [F.first(c).alias(c) for c in ("n", "prefix", "sigs", "places")]
+    """(cid, class, first, rows, n, prefix, own, sigs, places), cut: the classes of ``units``, their first unit and number of units."""
+    same = [F.first(c).alias(c) for c in ("n", "prefix", "own", "sigs", "places")]
     grouped = units.filter("n > 0").groupBy("class")
     found = grouped.agg(F.min(F.struct("doc", "text_hash", "line")).alias("first"), F.count("*").alias("rows"), *same)
     return cut(found.withColumn("cid", F.monotonically_increasing_id()))
@@ -308,3 +311,13 @@ def may_reach(percent: int, n_a: str, place_a: str, n_b: str, place_b: str) -> F
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (
         (100 + percent) * F.least(a - i, b - j) >= percent * (a + b)
     )
+
+
+def not_too_many_own(percent: int, n_a: str, own_a: str, n_b: str, own_b: str) -> F.Column:
+    """Filter by the tokens of each prefix that no other prefix has.
+
+    Of two sets, all prefix tokens of the one whose prefix ends first lie before the end of the other's prefix. If they were in the
+    other set, they would be in its prefix: so that set's own tokens are not common. One of the two bounds holds.
+    """
+    a, b = F.col(n_a) - F.col(own_a), F.col(n_b) - F.col(own_b)
+    return (100 + percent) * F.greatest(a, b) >= percent * (F.col(n_a) + F.col(n_b))
