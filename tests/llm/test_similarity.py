@@ -97,9 +97,9 @@ def grouped(make_docs, kind):
     rng = random.Random(11)
     if kind == "passage":
         passage = sentence(rng, 20)
-        return make_docs([f"{sentence(rng, rng.randint(4, 9))} {passage}" for _ in range(500)] + [passage] * 3)
+        return make_docs([f"{sentence(rng, rng.randint(4, 9))} {passage}" for _ in range(160)] + [passage] * 3)
     base = sentence(rng, 120)
-    return make_docs([edited(rng, base, rng.randint(0, 6)) for _ in range(400)])
+    return make_docs([edited(rng, base, rng.randint(0, 6)) for _ in range(140)])
 
 
 @pytest.mark.parametrize("kind", ["passage", "copies"])

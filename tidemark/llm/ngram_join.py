@@ -29,6 +29,8 @@ from tidemark.llm.tokens import U64, mix
 #: Size groups: neighbours differ by this factor, which no two similar sets exceed twice over.
 GROUP_STEP = 1.25
 SMALL = 8
+#: Different classes that one round draws from signatures of the same classes.
+HUB_DRAWS = 4
 
 
 def combination_prefixes(percent: int, frequent_bits: int):
@@ -42,7 +44,8 @@ def combination_prefixes(percent: int, frequent_bits: int):
     below. Sets too small to have m + 1 tokens in common for sure, and their partners, index every token alone as well.
 
     The place of a single token is its place in the set's order. If two similar sets share any rare token, the
-    first one that they share is rare. Pairs need not hold that one and have place 0.
+    first one that they share is rare. Otherwise two of their first m + 1 common tokens make a shared pair, whose first
+    token has at most m - 1 common ones before it: a pair's place is that token's place less m - 1.
     """
     if percent < 50:
         raise ValueError("percent is at least 50")
@@ -79,7 +82,7 @@ def combination_prefixes(percent: int, frequent_bits: int):
                     break
                 first, second = np.flatnonzero(same), np.flatnonzero(same) + ahead
                 pair = mix(t[first], 7) + mix(t[second], 8) + (group[u[first]] - below + 2).astype(U64) * U64(0x9E3779B97F4A7C15)
-                found.append((u[first], mix(pair, 9), np.zeros(len(first), p.dtype), np.zeros(len(first), bool)))
+                found.append((u[first], mix(pair, 9), np.maximum(0, p[first] - m[u[first]] + 1), np.zeros(len(first), bool)))
         # Signatures show a prefix token by token only if none of its tokens is frequent.
         shown = most.copy()
         shown[units] = 0
@@ -113,9 +116,9 @@ def merged_labels(edges: DataFrame) -> DataFrame:
 def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> DataFrame | None:
     """(cid, label) of the classes that are linked to another; None without any link.
 
-    ``rows``: sig, cid, n, place, own. In a star round one class of each signature, drawn by a hash so that signatures of
-    the same classes draw different ones, is compared with the signature's other classes and then leaves it, so work follows the
-    rows. Classes that are already connected are not compared again, and a signature whose classes are all connected is done. After
+    ``rows``: sig, cid, n, place, own. In a star round one class of each signature is compared with the signature's other
+    classes and then leaves it, so work follows the rows. It is drawn by one of ``HUB_DRAWS`` hashes, so that signatures
+    of the same classes draw some different ones. Classes that are already connected are not compared again, and a signature whose classes are all connected is done. After
     ``star_rounds`` what is left is compared in pairs of which at least one class has few enough tokens of its own; a
     signature without such a class is done.
     """
@@ -128,7 +131,7 @@ def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> Data
         else:
             rows = rows.withColumn("label", F.col("cid"))
         hubs = rows.groupBy("sig").agg(
-            F.min_by(F.struct("cid", "n", "place", "own", "label"), F.xxhash64("sig", "cid")).alias("hub"),
+            F.min_by(F.struct("cid", "n", "place", "own", "label"), F.xxhash64(F.pmod(F.xxhash64("sig"), F.lit(HUB_DRAWS)), "cid")).alias("hub"),
             F.min("label").alias("low"),
             F.max("label").alias("high"),
             F.max("light").alias("any"),
