@@ -95,7 +95,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None, exact: boo
     else:
         number = F.count(F.lit(1))
     counts = looked_at.groupBy(*looked_at.columns).agg(number.cast("bigint").alias(ROWS)).where(F.col(ROWS) > limit)
-    few = counts.limit(CONSTANTS + 1).collect()
+    few = counts.orderBy(F.desc(ROWS)).limit(CONSTANTS + 1).collect()
     if len(few) <= CONSTANTS:
         sizes = [r[ROWS] for r in few]
         table = df.sparkSession.createDataFrame([tuple(r) for r in few], counts.schema)
