@@ -207,7 +207,11 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
                 names=["doc", "text_hash", "line", "class", "n", "prefix", "own", "sigs", "places"],
             )
 
-    return cut(source.mapInArrow(emit, UNIT))
+    rows = cut(source.mapInArrow(emit, UNIT))
+    # The written rows never ask for them again; executors would keep them for the rest of the session.
+    classes.unpersist()
+    found.unpersist()
+    return rows
 
 
 def classes_of(units: DataFrame) -> DataFrame:
