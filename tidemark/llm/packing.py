@@ -5,6 +5,8 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from itertools import compress, count, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -80,8 +82,8 @@ class WordEncoder:
         others: dict[bytes, str] = {}
         for word in missing:
             # The marks after a last letter a-z are tokens of their own, so both parts are looked up alone.
-            stem = b"" if any(c in word for c in special) else word.rstrip(MARKS)
-            if stem and len(stem) < len(word) and 97 <= stem[-1] <= 122:
+            stem = word.rstrip(MARKS)
+            if stem and len(stem) < len(word) and 97 <= stem[-1] <= 122 and not any(c in word for c in special):
                 mark = word[len(stem) :]
                 stems.append((word, stem, mark))
                 if mark not in known:
@@ -100,7 +102,7 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         split = [t.lower().split() for t in texts]
         found = [list(map(self.ids.get, words)) for words in split]
-        gaps = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in found]
+        gaps = [list(compress(count(), map(is_, ids, repeat(None)))) if None in ids else [] for ids in found]
         missing = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
         new = self._learn(missing) if missing else {}
         if len(self.ids) < self.max_words:
