@@ -242,7 +242,7 @@ def test_followed_by_on_a_stream(spark, tmp_path):
     data += [("end", "x", FAR), ("end", "x", FAR + 1), ("end", "x", FAR + 2), ("end", "x", FAR + 3)]
     stream = with_time(stream_of(spark, replay(tmp_path, data, per_file=2), "o string, kind string, ms bigint"), "15 minutes")
     out = processors.with_state(
-        stream, "o", processors.FollowedBy("o", "ms", "kind", "create", "pay", 15 * MIN),
+        stream, "o", processors.FollowedBy("o", "ms", "arrival", "kind", "create", "pay", 15 * MIN),
         "o string, begin_ms bigint, end_ms bigint, status string", "EventTime",
     )
     assert rows(run(out, "followed", tmp_path), "o", "end_ms", "status") == [
@@ -250,6 +250,25 @@ def test_followed_by_on_a_stream(spark, tmp_path):
     ]
 
 
+def test_followed_by_at_one_time_equals_the_stored_form(spark, tmp_path):
+    """Begin and end at one millisecond, in both orders, several of each, and at the very end of the time allowed."""
+    data = [("a", "create", 1000), ("a", "pay", 1000), ("b", "pay", 2000), ("b", "create", 2000), ("c", "create", 3000),
+            ("c", "pay", 3000), ("c", "create", 3000), ("c", "pay", 9000), ("d", "create", 4000), ("d", "create", 4000),
+            ("d", "pay", 14_000), ("d", "create", 14_000), ("e", "pay", 5000), ("e", "create", 5000), ("e", "pay", 5000),
+            ("e", "create", 5000), ("e", "pay", 14_999), ("d", "pay", 14_000)]
+    schema = "o string, kind string, ms bigint"
+    folder = replay(tmp_path, [*data, ("end", "x", FAR), ("end", "x", FAR + 1)], per_file=len(data) + 1)
+    stream = with_time(stream_of(spark, folder, schema), "1 minute")
+    step = processors.FollowedBy("o", "ms", "arrival", "kind", "create", "pay", 10_000)
+    out = processors.with_state(stream, "o", step, "o string, begin_ms bigint, end_ms bigint, status string", "EventTime")
+    stored = patterns.followed_by(
+        at(numbered(spark, data, schema)), "o", ["ts", "arrival"], F.col("kind") == "create", F.col("kind") == "pay", "ts", "10 seconds"
+    )
+    expected = rows(stored, "o", ms("begin_ts"), ms("end_ts"), "status")
+    assert ("a", 1000, 1000, "matched") in expected and ("b", 2000, None, "timeout") in expected and len(expected) == 9
+    assert rows(run(out, "one-time", tmp_path), "o", "begin_ms", "end_ms", "status") == expected
+
+
 def test_regular_join_on_a_stream(spark, tmp_path):
     sides = []
     for name, data in (("l", [("a", 1000), ("b", 2000)]), ("r", [("a", 3000), ("b", 4000), ("a", 5000)])):

@@ -47,11 +47,16 @@ def scratch_root(spark: SparkSession) -> str:
     return own
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with the session's own file system settings; one that is not there is no error."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        remove_folder(spark, folder)
     except Exception:  # noqa: BLE001  the JVM may be gone already
         return
 

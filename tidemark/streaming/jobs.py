@@ -1,12 +1,12 @@
 """Stream jobs whose steps need a batch at a time: top N, buffered output, late rows.
 
-State between micro-batches is a small table with one folder per batch. Batch n reads the folder of
-batch n - 1 and replaces its own, so a batch that is run again gives the same result.
+State between micro-batches is a table with one folder per batch. Batch n reads what earlier batches left and
+replaces its own folder, so a batch that is run again gives the same result. When batch n runs, batch n - 1
+has ended, and folders that only it or earlier ones needed are deleted.
 """
 
 from __future__ import annotations
 
-
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +16,7 @@ from tidemark.functions.times import interval, window_start
 from tidemark.operators.keyed_state import buffered
 from tidemark.operators.topn import top_n_per
 from tidemark.plans.scans import highest, running, total
+from tidemark.session import remove_folder
 from tidemark.sinks.writers import BatchWriter, batch_folder
 
 
@@ -27,6 +28,7 @@ def ranked_batches(write: BatchWriter, group: list[str], key: list[str], n: int)
 def _previous(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     if batch_id == 0:
         return spark.createDataFrame([], schema)
+    remove_folder(spark, batch_folder(path, batch_id - 2))
     return spark.read.schema(schema).parquet(batch_folder(path, batch_id - 1))
 
 
@@ -47,25 +49,53 @@ def buffering_batches(write: BatchWriter, state: str, arrival: list[str], size:
     return run
 
 
+def _last_of_each(rows: DataFrame, key: str, arrival: str, depth: int) -> DataFrame:
+    latest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(arrival)))
+    return rows.withColumn("__back", latest).where(F.col("__back") <= depth).drop("__back")
+
+
 def look_back_batches(
-    apply: Callable[[DataFrame], DataFrame], write: BatchWriter, state: str, key: str, arrival: str, depth: int
+    apply: Callable[[DataFrame], DataFrame],
+    write: BatchWriter,
+    state: str,
+    key: str,
+    arrival: str,
+    depth: int,
+    compact_every: int = 16,
 ) -> BatchWriter:
     """Run an operator that looks at most ``depth`` rows of the key back, such as a strict pattern.
 
-    ``state`` keeps each key's last ``depth`` rows; they are put before the batch's rows. ``apply`` must
+    The last ``depth`` rows of the batch's keys are put before the batch's rows. ``apply`` must
     keep the ``arrival`` column, by which results of earlier batches are left out. Unlike a stateful
     processor this splits hot keys.
+
+    A batch adds to ``state`` only the last rows of the keys it has; every ``compact_every`` batches these
+    additions are merged into a new base of all keys, and what it replaces is deleted.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
-        carried = _previous(batch.sparkSession, state, batch_id, schema)
-        rows = carried.unionByName(batch)
+        base = batch_id // compact_every * compact_every - 1
+        kept = [batch_folder(f"{state}/added", i) for i in range(base + 1, batch_id)]
+        if base >= 0:
+            kept.append(batch_folder(f"{state}/base", base))
+        known = spark.read.schema(schema).parquet(*kept) if kept else spark.createDataFrame([], schema)
+        if batch_id == base + 1 and base >= 0:
+            remove_folder(spark, batch_folder(f"{state}/base", base - compact_every))
+            for i in range(base + 1 - compact_every, base + 1):
+                remove_folder(spark, batch_folder(f"{state}/added", i))
+
+        asked = batch.select(F.col(key).alias("__asked")).distinct()
+        here = known.join(asked, F.col(key).eqNullSafe(F.col("__asked")), "left_semi")
+        rows = _last_of_each(here, key, arrival, depth).unionByName(batch)
         oldest = batch.agg(F.min(arrival)).scalar()
         write(apply(rows).where(F.col(arrival) >= oldest), batch_id)
-        latest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(arrival)))
-        kept = rows.withColumn("__back", latest).where(F.col("__back") <= depth).drop("__back")
-        kept.write.mode("overwrite").parquet(batch_folder(state, batch_id))
+        added = _last_of_each(batch, key, arrival, depth)
+        added.write.mode("overwrite").parquet(batch_folder(f"{state}/added", batch_id))
+        if (batch_id + 1) % compact_every == 0:
+            merged = _last_of_each(known.unionByName(batch), key, arrival, depth)
+            merged.write.mode("overwrite").parquet(batch_folder(f"{state}/base", batch_id))
 
     return run
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 LONG = T.StructType([T.StructField("v", T.LongType())])
 TEXT = T.StructType([T.StructField("v", T.StringType())])
+PENDING = T.StructType([T.StructField(n, T.ArrayType(T.LongType())) for n in ("begins", "ends")])
 
 
 def _joined(batches: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
@@ -207,26 +208,29 @@ class FollowedBy(StatefulProcessor):
     """Each ``begin`` row with the key's next ``end`` row, if that comes less than ``within_ms`` later.
 
     Rows wait until the watermark reaches them, so they are matched in event-time order even if they
-    came out of order. A begin row whose time runs out is reported as a timeout.
+    came out of order; rows of one time stand in the order of ``arrival``. A begin row whose time runs out is
+    reported as a timeout, before the rows of that time are looked at.
     """
 
-    def __init__(self, key: str, millis: str, kind: str, begin: str, end: str, within_ms: int) -> None:
-        self.key, self.millis, self.kind = key, millis, kind
+    def __init__(self, key: str, millis: str, arrival: str, kind: str, begin: str, end: str, within_ms: int) -> None:
+        self.key, self.millis, self.arrival, self.kind = key, millis, arrival, kind
         self.begin, self.end, self.within = begin, end, within_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.begins = handle.getMapState("begins", LONG, LONG)
-        self.ends = handle.getMapState("ends", LONG, LONG)
+        #: Of each time not reached yet: arrivals of begin rows, and of end rows.
+        self.pending = handle.getMapState("pending", LONG, PENDING)
         self.waiting = handle.getMapState("waiting", LONG, LONG)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         for batch in rows:
-            for kind, state in ((self.begin, self.begins), (self.end, self.ends)):
-                for at, more in batch.loc[batch[self.kind] == kind, self.millis].value_counts().items():
-                    known = state.getValue((int(at),))[0] if state.containsKey((int(at),)) else 0
-                    state.updateValue((int(at),), (known + int(more),))
-                    self.handle.registerTimer(int(at))
+            known = batch[batch[self.kind].isin([self.begin, self.end])]
+            for at, same in known.groupby(self.millis):
+                begins, ends = self._pending((int(at),))
+                begins += same.loc[same[self.kind] == self.begin, self.arrival].tolist()
+                ends += same.loc[same[self.kind] == self.end, self.arrival].tolist()
+                self.pending.updateValue((int(at),), (begins, ends))
+                self.handle.registerTimer(int(at))
         yield self._out(key, [])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
@@ -235,17 +239,27 @@ class FollowedBy(StatefulProcessor):
         if self.waiting.containsKey((now - self.within,)):
             out += [(now - self.within, None, "timeout")] * self.waiting.getValue((now - self.within,))[0]
             self.waiting.removeKey((now - self.within,))
-        if self.ends.containsKey((now,)):
+        begins, ends = self._pending((now,))
+        if begins or ends:
+            self.pending.removeKey((now,))
+        if ends:
+            # Begin rows of this very time are ended by a later arrival of the same time only.
             for at, number in sorted((k[0], v[0]) for k, v in self.waiting.iterator()):
                 out += [(at, now, "matched")] * number
                 self.waiting.removeKey((at,))
-            self.ends.removeKey((now,))
-        if self.begins.containsKey((now,)):
-            self.waiting.updateValue((now,), self.begins.getValue((now,)))
-            self.begins.removeKey((now,))
+        ended = sum(arrival < max(ends) for arrival in begins) if ends else 0
+        out += [(now, now, "matched")] * ended
+        if len(begins) > ended:
+            self.waiting.updateValue((now,), (len(begins) - ended,))
             self.handle.registerTimer(now + self.within)
         yield self._out(key, out)
 
+    def _pending(self, at: tuple[int]) -> tuple[list[int], list[int]]:
+        if not self.pending.containsKey(at):
+            return [], []
+        begins, ends = self.pending.getValue(at)
+        return list(begins), list(ends)
+
     def _out(self, key: Any, found: list[tuple]) -> pd.DataFrame:
         frame = pd.DataFrame(found, columns=["begin_ms", "end_ms", "status"])
         frame["end_ms"] = frame["end_ms"].astype("Int64")
