@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import joins, late, patterns, windows
 from tidemark.sinks import writers
 from tidemark.sources import files
-from tidemark.streaming import jobs, processors
+from tidemark.streaming import jobs, processors, rounds
 
 
 @pytest.fixture(autouse=True)
@@ -295,3 +295,43 @@ def test_look_back_job_keeps_the_last_rows(spark, tmp_path, segment_rows):
         spark.conf.unset("spark.tidemark.segmentRows")
     expected = rows(alerts(numbered(spark, data, "k string, kind string")), "k", "arrival")
     assert len(expected) == 8 and rows(spark.read.parquet(out), "k", "arrival") == expected
+
+
+def test_look_back_state_grows_with_the_batch_only(spark, tmp_path):
+    """20 batches over many keys: what a batch adds and the number of folders stay as they are; results are right."""
+    data = [(i + 1, f"k{i * 7 % 40}" if i % 9 else None, "fail" if i % 5 else "ok") for i in range(200)]
+    alerts = lambda rows: patterns.alerts_by_arrival(rows, "k", "arrival", F.col("kind") == "fail")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    write = jobs.look_back_batches(alerts, writers.parquet_batches(out), state, "k", "arrival", 2, compact_every=4)
+    whole = spark.createDataFrame(data, "arrival bigint, k string, kind string")
+    kept = []
+    for n in range(20):
+        batch = whole.where(F.col("arrival").between(10 * n + 1, 10 * n + 10))
+        for _ in range(2 if n in (4, 7) else 1):  # a batch that is run again
+            write(batch, n)
+        added = spark.read.parquet(f"{state}/added/batch={n}").count()
+        assert added <= 10
+        kept.append(sum(len(os.listdir(tmp_path / "state" / kind)) for kind in ("added", "base") if (tmp_path / "state" / kind).exists()))
+    assert max(kept[4:]) <= 6 and kept[4:8] == kept[8:12] == kept[16:]
+    expected = rows(alerts(whole), "k", "arrival")
+    assert len(expected) > 20 and rows(spark.read.parquet(out), "k", "arrival") == expected
+
+
+def test_timers_free_their_state(spark, tmp_path):
+    """Rounds with a restart each; the last row moves the watermark past all timers and nothing stays behind."""
+    data = [(k, t) for t in range(12) for k in "ab"]
+    frame = spark.createDataFrame(data, "k string, t bigint").select("k", F.timestamp_seconds("t").alias("ts"))
+    end = spark.createDataFrame([(None, 1000)], "k string, t bigint").select("k", F.timestamp_seconds("t").alias("ts"))
+    parts = rounds.parts_along(frame, F.unix_micros("ts"), 3)
+    until, out, ckpt = F.timestamp_seconds(F.lit(500)), str(tmp_path / "out"), str(tmp_path / "c")
+
+    def start(stream):
+        due = rounds.due_timers(stream, "k", "ts", "5 seconds", until=until)
+        return due.writeStream.option("checkpointLocation", ckpt).foreachBatch(writers.parquet_batches(out))
+
+    ended = rounds.run_rounds([*parts, end], str(tmp_path / "in"), start)
+    assert [p.count() for p in parts] == [8, 8, 8] and len(ended) == 4
+    fired = spark.read.parquet(out)
+    assert rows(fired, "k", ms("at")) == sorted((k, (t + 5) * 1000) for k, t in data)
+    assert fired.where("batch < 4").count() > 0
+    assert ended[-1].lastProgress["stateOperators"][0]["numRowsTotal"] == 0

@@ -111,13 +111,16 @@ def topn_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.top_n(counts, "user_id", 2)
 
 
+EVENT_TIMERS_SQL = """
+SELECT user_id, 'row' AS kind, ts AS "at" FROM events
+UNION ALL
+SELECT DISTINCT user_id, 'timer', ts + INTERVAL 1 HOUR FROM events
+"""
+
+
 @query(
     "event_timers",
-    """
-    SELECT user_id, 'row' AS kind, ts AS "at" FROM events
-    UNION ALL
-    SELECT DISTINCT user_id, 'timer', ts + INTERVAL 1 HOUR FROM events
-    """,
+    EVENT_TIMERS_SQL,
 )
 def event_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_state.event_timers(table(spark, sf_dir, "events"), "user_id", "ts", "1 hour")

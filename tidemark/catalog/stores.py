@@ -43,16 +43,19 @@ def cell_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.cells(events, F.col("user_id").cast("string"), "info", F.col("event_type"))
 
 
+BUFFERED_SQL = """
+WITH placed AS (
+  SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS nth,
+         count(*) OVER () AS n
+  FROM events)
+SELECT event_id, user_id, nth // 10 AS batch_id, nth % 10 AS position FROM placed
+WHERE nth < n // 10 * 10
+"""
+
+
 @query(
     "buffered_batches",
-    """
-    WITH placed AS (
-      SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS nth,
-             count(*) OVER () AS n
-      FROM events)
-    SELECT event_id, user_id, nth // 10 AS batch_id, nth % 10 AS position FROM placed
-    WHERE nth < n // 10 * 10
-    """,
+    BUFFERED_SQL,
 )
 def buffered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id")

@@ -204,7 +204,7 @@ WATERMARK_SQL = f"""
 """
 
 
-def _classified_sql(lateness: str) -> str:
+def classified_sql(lateness: str) -> str:
     return f"""
     {WATERMARK_SQL},
     placed AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM traced),
@@ -218,7 +218,7 @@ def _classified_sql(lateness: str) -> str:
     """
 
 
-def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.pmod(F.col("event_id") * 37, F.lit(7)) * interval("1 hour")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
     return events.withColumn("arrived_at", F.col("ts") + delay)
@@ -229,28 +229,31 @@ ARRIVAL = ["arrived_at", "event_id"]
 
 @query("watermark_trace", f"WITH {WATERMARK_SQL} SELECT event_id, ts, watermark FROM traced")
 def watermark_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    traced = late.watermark_trace(_arriving(spark, sf_dir), "ts", ARRIVAL, "2 hours")
+    traced = late.watermark_trace(arriving(spark, sf_dir), "ts", ARRIVAL, "2 hours")
     return traced.select("event_id", "ts", "watermark")
 
 
+LATE_REFIRE_SQL = f"""
+WITH {classified_sql("INTERVAL 1 HOUR")},
+first AS (
+  SELECT event_type, window_start, window_end, count(*) AS cnt FROM classified
+  WHERE arrived = 'on_time' GROUP BY ALL),
+again AS (
+  SELECT event_type, window_start, window_end, event_id AS refired_by, arrived,
+         count(*) OVER (PARTITION BY event_type, window_start ORDER BY arrived_at, event_id) AS cnt
+  FROM classified WHERE arrived <> 'dropped')
+SELECT event_type, window_start, window_end, CAST(-1 AS BIGINT) AS refired_by, cnt FROM first
+UNION ALL
+SELECT event_type, window_start, window_end, refired_by, cnt FROM again WHERE arrived = 'late'
+"""
+
+
 @query(
     "late_refire",
-    f"""
-    WITH {_classified_sql("INTERVAL 1 HOUR")},
-    first AS (
-      SELECT event_type, window_start, window_end, count(*) AS cnt FROM classified
-      WHERE arrived = 'on_time' GROUP BY ALL),
-    again AS (
-      SELECT event_type, window_start, window_end, event_id AS refired_by, arrived,
-             count(*) OVER (PARTITION BY event_type, window_start ORDER BY arrived_at, event_id) AS cnt
-      FROM classified WHERE arrived <> 'dropped')
-    SELECT event_type, window_start, window_end, CAST(-1 AS BIGINT) AS refired_by, cnt FROM first
-    UNION ALL
-    SELECT event_type, window_start, window_end, refired_by, cnt FROM again WHERE arrived = 'late'
-    """,
+    LATE_REFIRE_SQL,
 )
 def late_refire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = late.classify_late(_arriving(spark, sf_dir), "ts", ARRIVAL, "1 hour", "2 hours", "1 hour")
+    rows = late.classify_late(arriving(spark, sf_dir), "ts", ARRIVAL, "1 hour", "2 hours", "1 hour")
     results = late.refired_counts(rows, ["event_type"], ARRIVAL)
     return results.withColumn("refired_by", F.coalesce("refired_by", F.lit(-1)))
 
@@ -258,25 +261,25 @@ def late_refire(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "late_side_output",
     f"""
-    WITH {_classified_sql("INTERVAL 1 HOUR")}
+    WITH {classified_sql("INTERVAL 1 HOUR")}
     SELECT event_id, event_type, ts FROM classified WHERE arrived = 'dropped'
     """,
 )
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = late.classify_late(_arriving(spark, sf_dir), "ts", ARRIVAL, "1 hour", "2 hours", "1 hour")
+    rows = late.classify_late(arriving(spark, sf_dir), "ts", ARRIVAL, "1 hour", "2 hours", "1 hour")
     return late.late_rows(rows).select("event_id", "event_type", "ts")
 
 
 @query(
     "late_dropped",
     f"""
-    WITH {_classified_sql("INTERVAL 0 HOUR")}
+    WITH {classified_sql("INTERVAL 0 HOUR")}
     SELECT event_type, window_start, window_end, count(*) AS cnt FROM classified
     WHERE arrived <> 'dropped' GROUP BY ALL
     """,
 )
 def late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = late.classify_late(_arriving(spark, sf_dir), "ts", ARRIVAL, "1 hour", "2 hours", "0 hours")
+    rows = late.classify_late(arriving(spark, sf_dir), "ts", ARRIVAL, "1 hour", "2 hours", "0 hours")
     return late.final_counts(rows, ["event_type"])
 
 
@@ -298,7 +301,7 @@ def late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def union_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _arriving(spark, sf_dir)
+    rows = arriving(spark, sf_dir)
     inputs = {kind: rows.where(F.col("event_type") == kind) for kind in ("click", "error")}
     out = late.union_watermark(inputs, "ts", ARRIVAL, "2 hours")
     return out.select("event_id", "stream", "ts", "watermark")
