@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from math import ceil
 
 import pyarrow as pa
@@ -80,6 +82,23 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], out: str, rows_pe
     )
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def freeing(task: Task) -> Task:
+    """The task, returning to the system at its end what it has freed: workers are reused, and their peaks would add up."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim:
+            trim(0)
+
+    return run
+
+
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4_000_000) -> Iterator[tuple[int, int, list[bytes]]]:
     """(first row, row after the last, UTF-8 texts) of slices of about ``max_bytes``; a longer text is a slice alone."""
     values = batch.column(column).cast(pa.large_binary())

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, batch_of, cut, ranked, text_slices, texts_of
+from tidemark.llm.common import ROW, batch_of, cut, freeing, ranked, text_slices, texts_of
 
 END_ID = 1
 #: Printable ASCII without letters, digits, blanks and the apostrophe, which may begin a token of letters.
@@ -43,7 +43,7 @@ class WordEncoder:
     words once it holds ``max_words``, so memory is bounded; rarer words are then encoded when they are met.
     """
 
-    def __init__(self, path: str, max_words: int = 900_000) -> None:
+    def __init__(self, path: str, max_words: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -116,6 +116,7 @@ class WordEncoder:
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token ids of every text with the end id, cut into pieces of ``capacity`` and a rest: place, length and CRC of each."""
 
+    @freeing
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 

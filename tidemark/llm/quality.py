@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_sample, text_slices, texts_of
+from tidemark.llm.common import freeing, hash_sample, text_slices, texts_of
 
 PAD = 256
 
@@ -198,6 +198,7 @@ def with_scores(docs: DataFrame, net: ByteNet) -> DataFrame:
     """(doc_id, score) of ``docs`` (doc_id, text)."""
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
+    @freeing
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
@@ -212,6 +213,7 @@ def quality_filter(docs: DataFrame, net: ByteNet, threshold: float = 0.3) -> Dat
     """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
     schema = docs.schema
 
+    @freeing
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.zeros(batch.num_rows, bool)

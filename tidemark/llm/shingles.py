@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import sketch
-from tidemark.llm.common import cut, text_slices
+from tidemark.llm.common import cut, freeing, text_slices
 from tidemark.llm.tokens import U64, mix, powers, split_hashes, window_hashes
 
 TOKEN_BITS = 58
@@ -148,6 +148,7 @@ class Plan:
 def token_classes(source: DataFrame, plan: Plan):
     """(broadcast frequency classes, number of tokens)."""
 
+    @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sketch.count_parts(u.tokens for _, _, u in plan.chunks(batches, None))
 
@@ -170,6 +171,7 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
         offsets = units.offsets
         return signatures(units.tokens, np.diff(offsets), offsets)
 
+    @freeing
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sketch.sketch_parts((sigs_of(u)[1] for _, _, u in plan.chunks(batches, classes.value)), bits, depth)
 
@@ -177,6 +179,7 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
         sketch.repeated_cells(source.select("text").mapInArrow(parts, sketch.PART_TYPE), bits, depth)
     )
 
+    @freeing
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, units in plan.chunks(batches, classes.value):
             unit, sig, place, prefix, *alone = sigs_of(units)
@@ -246,6 +249,7 @@ def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool)
     few = asked.count() <= BROADCAST_NAMES
     joined = source.join(F.broadcast(asked) if few else asked, ["doc", "text_hash"]).select("text", "lines")
 
+    @freeing
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, units in plan.chunks(batches, None):
             lines, offsets = batch.column("lines"), units.offsets
@@ -266,6 +270,7 @@ def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool)
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows of ``pairs`` (a, b: cid) whose sets have percent of their union in common."""
 
+    @freeing
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = []
