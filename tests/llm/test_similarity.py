@@ -260,3 +260,30 @@ def test_prefix_length_is_exact():
         for n in range(1, 60):
             least = next(o for o in range(n + 1) if 100 * o >= percent * n)
             assert shingles.prefix_length(np.array([n]), percent)[0] == n - least + 1
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_parities_lose_nothing(spark, percent):
+    """Similar sets of any size pass; bits apart never exceed tokens apart; most pairs of different sets fail."""
+    draw = np.random.default_rng(percent)
+    texts, pairs = [], []
+    for size in (1, 2, 5, 30, 140, 400, 3000):
+        for kept in (1.0, 0.97, 0.9, 0.82, 0.6, 0.0):
+            words = [f"w{x}" for x in draw.integers(0, 10**9, size)]
+            other = [w if draw.random() < kept else f"x{draw.integers(0, 10**9)}" for w in words]
+            pairs.append((len(texts), len(texts) + 1))
+            texts += [" ".join(words).encode(), " ".join(other).encode()]
+    texts.append(b"")
+    units = shingles.units_of(texts, 1, False, 1)
+    sets = [set(x.tolist()) for x in np.split(units.tokens, units.offsets[1:-1])]
+    marks = shingles.parities(units, 4).view(np.int64)
+    assert not marks[-1].any()
+    rows = [(a, b, len(sets[a]), marks[a].tolist(), len(sets[b]), marks[b].tolist()) for a, b in pairs]
+    frame = spark.createDataFrame(rows, "a int, b int, n_a int, marks_a array<long>, n_b int, marks_b array<long>")
+    passed = {(r.a, r.b) for r in frame.filter(shingles.few_apart(percent, "n_a", "marks_a", "n_b", "marks_b", 4)).collect()}
+    similar = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert similar and similar <= passed
+    assert len(passed) < len(pairs)
+    for a, b in pairs:
+        bits = sum(int(x).bit_count() for x in (marks[a] ^ marks[b]).view(np.uint64))
+        assert bits <= len(sets[a] ^ sets[b])

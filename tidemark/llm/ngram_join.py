@@ -15,6 +15,7 @@ from tidemark.llm.shingles import (
     Comparison,
     Plan,
     classes_of,
+    few_apart,
     keyed,
     may_reach,
     named,
@@ -31,6 +32,8 @@ GROUP_STEP = 1.25
 SMALL = 8
 #: Different classes that one round draws from signatures of the same classes.
 HUB_DRAWS = 4
+#: 64-bit words of parities that a class carries into the last round; 256 bits part sets of up to some 500 tokens.
+MARKS = 4
 
 
 def combination_prefixes(percent: int, frequent_bits: int):
@@ -119,8 +122,8 @@ def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> Data
     ``rows``: sig, cid, n, place, own. In a star round one class of each signature is compared with the signature's other
     classes and then leaves it, so work follows the rows. It is drawn by one of ``HUB_DRAWS`` hashes, so that signatures
     of the same classes draw some different ones. Classes that are already connected are not compared again, and a signature whose classes are all connected is done. After
-    ``star_rounds`` what is left is compared in pairs of which at least one class has few enough tokens of its own; a
-    signature without such a class is done.
+    ``star_rounds`` what is left is compared in pairs of which at least one class has few enough tokens of its own (a
+    signature without such a class is done) and whose parities differ in few enough bits.
     """
     percent = compare.plan.percent
     rows = rows.withColumn("light", 100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
@@ -145,8 +148,10 @@ def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> Data
             hub = {"cid": "a", "n": "n_a", "place": "place_a", "own": "own_a", "label": "label_a"}
             met = rows.select(*[F.col(f"hub.{c}").alias(n) for c, n in hub.items()], *right)
         else:
-            left = rows.filter("light").select("sig", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in names])
-            met = left.join(rows.select("sig", *right), "sig").filter("a < b or not light_b")
+            marked = rows.join(compare.classes.select("cid", "marks"), "cid")
+            left = marked.filter("light").select("sig", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in [*names, "marks"]])
+            met = left.join(marked.select("sig", *right, F.col("marks").alias("marks_b")), "sig").filter("a < b or not light_b")
+            met = met.filter(few_apart(percent, "n_a", "marks_a", "n_b", "marks_b", compare.plan.marks))
         first = F.col("a") < F.col("b")
         pairs = (
             met.filter((F.col("label_a") != F.col("label_b")) & (F.col("a") != F.col("b")))
@@ -201,7 +206,7 @@ def linked_documents(
     ``frequent_bits``: tokens whose count has at least that many bits are indexed in pairs. It moves work, never results.
     """
     source = keyed(docs, id_col, text_col)
-    plan = Plan(k, percent)
+    plan = Plan(k, percent, marks=MARKS)
     units = signature_units(source, plan, combination_prefixes(percent, frequent_bits), all_units=True)
     classes = classes_of(units)
     repeated = not units.groupBy("doc", "text_hash").count().filter("count > 1").isEmpty()

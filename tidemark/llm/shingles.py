@@ -22,8 +22,9 @@ TOKEN_BITS = 58
 NO_ID = (1 << 63) - 1
 
 #: A unit of a document: its place, class, size, the length of the prefix that its signatures show in full (or
-#: 0), how many tokens of its prefix no other prefix has, and its signatures with their place in the set's order.
-UNIT = "doc long, text_hash long, line int, class binary, n int, prefix int, own int, sigs array<long>, places array<int>"
+#: 0), how many tokens of its prefix no other prefix has, the parities of the whole set, and its signatures with their
+#: place in the set's order.
+UNIT = "doc long, text_hash long, line int, class binary, n int, prefix int, own int, marks array<long>, sigs array<long>, places array<int>"
 #: Documents asked for by name are broadcast up to this number (some 30 bytes each), and joined by a shuffle beyond it.
 BROADCAST_NAMES = 300_000
 
@@ -126,6 +127,19 @@ def digests(units: Units) -> list[bytes]:
     return [raw[i : i + 16] for i in range(0, len(raw), 16)]
 
 
+def parities(units: Units, words: int) -> np.ndarray:
+    """(units, words): each token flips one of 64 * ``words`` bits, so two sets differ in at least as many tokens as bits."""
+    plain = units.tokens & U64((1 << TOKEN_BITS) - 1)
+    flip, word = U64(1) << (plain & U64(63)), (plain >> U64(6)) % U64(max(1, words))
+    out = np.zeros((len(units.text), words), "<u8")
+    offsets = units.offsets
+    full = np.flatnonzero(np.diff(offsets) > 0)
+    if len(full):
+        for w in range(words):
+            out[full, w] = np.bitwise_xor.reduceat(np.where(word == U64(w), flip, U64(0)), offsets[full])
+    return out
+
+
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     """Of sets of ``n`` tokens: two that reach the similarity share a token among that many of their first ones."""
     return n - (n * percent + 99) // 100 + (n > 0)
@@ -133,11 +147,14 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Plan:
+    """``marks``: words of parities that classes carry for few_apart; 0 for none."""
+
     k: int = 5
     percent: int = 80
     by_line: bool = False
     least_words: int = 1
     slice_bytes: int = 1_000_000
+    marks: int = 0
 
     def chunks(self, batches: Iterator[pa.RecordBatch], classes: np.ndarray | None) -> Iterator[tuple[pa.RecordBatch, int, Units]]:
         for batch in batches:
@@ -195,6 +212,8 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
             doc = batch.column("doc").to_numpy(zero_copy_only=False)
             text_hash = batch.column("text_hash").to_numpy(zero_copy_only=False)
             of = units.text[rows] + first
+            marks = parities(units, plan.marks)[rows].reshape(-1).view(np.int64)
+            mark_ends = (np.arange(len(rows) + 1) * plan.marks).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(doc[of]),
@@ -204,10 +223,11 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
                     pa.array(sizes[rows].astype(np.int32)),
                     pa.array(prefix[rows].astype(np.int32)),
                     pa.array(own[rows].astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(mark_ends), pa.array(marks)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(place.astype(np.int32))),
                 ],
-                names=["doc", "text_hash", "line", "class", "n", "prefix", "own", "sigs", "places"],
+                names=["doc", "text_hash", "line", "class", "n", "prefix", "own", "marks", "sigs", "places"],
             )
 
     rows = cut(source.mapInArrow(emit, UNIT))
@@ -218,24 +238,25 @@ def signature_units(source: DataFrame, plan: Plan, signatures: Callable[[np.ndar
 
 
 def classes_of(units: DataFrame) -> DataFrame:
-    """(cid, class, first, rows, n, prefix, own, sigs, places), cut: the classes of ``units``, their first unit and number of units."""
-    same = [F.first(c).alias(c) for c in ("n", "prefix", "own", "sigs", "places")]
+    """(cid, class, first, rows, n, prefix, own, marks, sigs, places), cut: the classes of ``units``, their first unit and number of units."""
+    same = [F.first(c).alias(c) for c in ("n", "prefix", "own", "marks", "sigs", "places")]
     grouped = units.filter("n > 0").groupBy("class")
     found = grouped.agg(F.min(F.struct("doc", "text_hash", "line")).alias("first"), F.count("*").alias("rows"), *same)
     return cut(found.withColumn("cid", F.monotonically_increasing_id()))
 
 
-def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b: cid) whose prefixes have enough in common.
+def promising(pairs: DataFrame, classes: DataFrame, percent: int, words: int = 0) -> DataFrame:
+    """The rows of ``pairs`` (a, b: cid) whose prefixes have enough in common, and whose parities are near enough.
 
     Tokens behind the prefix that ends first are all that can be common besides the common ones of both prefixes.
     """
-    rest = classes.select("cid", "n", (F.col("n") - F.col("prefix")).alias("rest"), "sigs")
+    rest = classes.select("cid", "n", (F.col("n") - F.col("prefix")).alias("rest"), "sigs", "marks")
     a = rest.select(*[F.col(c).alias(f"{c}_a") for c in rest.columns])
     b = rest.select(*[F.col(c).alias(f"{c}_b") for c in rest.columns])
     met = pairs.join(a, pairs["a"] == a["cid_a"]).join(b, pairs["b"] == b["cid_b"])
     common = F.size(F.array_intersect("sigs_a", "sigs_b")) + F.greatest("rest_a", "rest_b")
-    return met.filter((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select(*pairs.columns)
+    near = few_apart(percent, "n_a", "marks_a", "n_b", "marks_b", words)
+    return met.filter(near & ((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b")))).select(*pairs.columns)
 
 
 def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool) -> DataFrame:
@@ -298,7 +319,7 @@ class Comparison:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b), cut: those of ``pairs`` (a, b: cid, distinct) that are similar."""
-        near = cut(promising(pairs, self.classes, self.plan.percent))
+        near = cut(promising(pairs, self.classes, self.plan.percent, self.plan.marks))
         ids = near.select(F.col("a").alias("cid")).unionByName(near.select(F.col("b").alias("cid"))).distinct()
         sets = class_sets(self.source, self.classes.join(ids, "cid").select("cid", "first"), self.plan, self.repeated)
         return cut(similar(near, sets, self.plan.percent), rows=200)
@@ -330,3 +351,15 @@ def not_too_many_own(percent: int, n_a: str, own_a: str, n_b: str, own_b: str) -
     """
     a, b = F.col(n_a) - F.col(own_a), F.col(n_b) - F.col(own_b)
     return (100 + percent) * F.greatest(a, b) >= percent * (F.col(n_a) + F.col(n_b))
+
+
+def few_apart(percent: int, n_a: str, marks_a: str, n_b: str, marks_b: str, words: int) -> F.Column:
+    """Filter by the parities of both sets: similar ones differ in few tokens, so in few bits.
+
+    With i tokens in common, n_a + n_b - 2 i differ, and i is at least percent / (100 + percent) of n_a + n_b.
+    Nothing similar is lost at any size; sets of several times as many tokens as bits pass nearly always.
+    """
+    apart = F.lit(0)
+    for w in range(words):
+        apart = apart + F.bit_count(F.get(marks_a, w).bitwiseXOR(F.get(marks_b, w)))
+    return (100 + percent) * apart <= (100 - percent) * (F.col(n_a) + F.col(n_b))
