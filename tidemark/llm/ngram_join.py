@@ -32,8 +32,8 @@ GROUP_STEP = 1.25
 SMALL = 8
 #: Different classes that one round draws from signatures of the same classes.
 HUB_DRAWS = 4
-#: 64-bit words of parities that a class carries into the last round; 256 bits part sets of up to some 500 tokens.
-MARKS = 4
+#: 64-bit words of parities that a class carries into the last round; 1,024 bits part sets of up to some 2,000 tokens.
+MARKS = 16
 
 
 def combination_prefixes(percent: int, frequent_bits: int):
