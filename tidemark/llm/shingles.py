@@ -107,7 +107,9 @@ def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classe
     tokens >>= U64(64 - TOKEN_BITS)
     if classes is not None:
         tokens |= sketch.classes_of(tokens, classes).astype(U64) << U64(TOKEN_BITS)
-    order = np.lexsort((tokens, unit))
+    order = np.argsort(tokens)
+    # short numbers are sorted by counting
+    order = order[np.argsort(unit.astype(np.uint16 if len(starts) <= 1 << 16 else np.int64)[order], kind="stable")]
     tokens, unit = tokens[order], unit[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (unit[1:] != unit[:-1])

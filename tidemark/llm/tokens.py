@@ -8,7 +8,8 @@ U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
-_powers = np.ones(1, U64)
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers = {1: np.ones(1, U64), -1: np.ones(1, U64)}
 
 
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -19,33 +20,37 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        steps = np.full(max(n, 2 * len(_powers)), U64(_BASE))
+def powers(n: int, sign: int = 1) -> np.ndarray:
+    """At least ``n`` powers of the base, or with ``sign`` -1 of its inverse."""
+    held = _powers[sign]
+    if len(held) < n:
+        steps = np.full(max(n, 2 * len(held)), U64(_BASE if sign > 0 else _INVERSE))
         steps[0] = 1
-        _powers = np.cumprod(steps, dtype=U64)
-    return _powers
+        held = _powers[sign] = np.cumprod(steps, dtype=U64)
+    return held
 
 
-def word_hashes(raw: bytes, is_space: np.ndarray = SPACE, slice_bytes: int = 1 << 21) -> np.ndarray:
+def word_hashes(raw: bytes, is_space: np.ndarray = SPACE, slice_bytes: int = 1 << 18) -> np.ndarray:
     """Hashes of the words (runs of bytes that are no space) of one buffer, in order."""
     return split_hashes(raw, is_space, slice_bytes)[0]
 
 
-def split_hashes(raw: bytes, is_space: np.ndarray = SPACE, slice_bytes: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def split_hashes(raw: bytes, is_space: np.ndarray = SPACE, slice_bytes: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first byte) of every word. Long buffers are cut between words, so work space stays bounded."""
     found, places, at = [], [], 0
     buf = np.frombuffer(raw, np.uint8)
     while at < len(buf):
         end = min(len(buf), at + slice_bytes)
-        if end < len(buf):
-            gaps = np.flatnonzero(is_space[buf[at:end]])
-            while not len(gaps) and end < len(buf):
-                end = min(len(buf), end + slice_bytes)
-                gaps = np.flatnonzero(is_space[buf[end - slice_bytes : end]]) + (end - slice_bytes - at)
-            if end < len(buf) or len(gaps) and not is_space[buf[end - 1]]:
-                end = at + int(gaps[-1]) + 1 if len(gaps) else end
+        while end < len(buf):
+            for back in (4096, slice_bytes):  # most words are short
+                first = max(at, end - back)
+                gaps = np.flatnonzero(is_space[buf[first:end]])
+                if len(gaps):
+                    break
+            if len(gaps):
+                end = first + int(gaps[-1]) + 1
+                break
+            end = min(len(buf), end + slice_bytes)
         h, s = _slice_hashes(buf[at:end], is_space)
         found.append(h)
         places.append(s + at)
@@ -56,16 +61,18 @@ def split_hashes(raw: bytes, is_space: np.ndarray = SPACE, slice_bytes: int = 1
 
 
 def _slice_hashes(buf: np.ndarray, is_space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inside = ~is_space[buf]
-    edges = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    """Sums of (byte + 1) * base ** place over each word: differences of running sums, moved back to place 0 by the inverse."""
+    padded = np.ones(len(buf) + 2, np.uint8)
+    padded[1:-1] = np.frombuffer(buf.tobytes().translate(is_space.astype(np.uint8).tobytes()), np.uint8)
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
+    starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.empty(0, U64), np.empty(0, np.int64)
-    lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
-    values = (buf[inside].astype(U64) + U64(1)) * powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(values, first) + lengths.astype(U64)), starts
+    sums = np.zeros(len(buf) + 1, U64)
+    np.add(buf, U64(1), out=sums[1:], dtype=U64)
+    sums[1:] *= powers(len(buf))[: len(buf)]
+    np.cumsum(sums, out=sums)
+    return mix((sums[ends] - sums[starts]) * powers(len(buf), -1)[starts] + (ends - starts).astype(U64)), starts
 
 
 def text_word_hashes(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
