@@ -116,13 +116,34 @@ def merged_labels(edges: DataFrame) -> DataFrame:
             return known
 
 
+def blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` with (block, merged) for sig: classes that share a signature share a block, in fewer pairs if signatures overlap.
+
+    Near copies that are not similar enough share hundreds of signatures, and would meet under each. The signatures that have the same
+    class as their first one, by a hash, are merged if all their classes together make fewer pairs than the
+    signatures do one by one. A class then stands at the smallest of its places: that weakens the positional filter and loses nothing.
+    """
+    sigs = rows.groupBy("sig").agg(F.min(F.xxhash64("cid")).alias("block"), F.count("*").alias("c"))
+    apart = sigs.groupBy("block").agg(F.sum(F.col("c") * F.col("c")).alias("apart"))
+    dealt = rows.join(sigs.select("sig", "block"), "sig")
+    own = [c for c in rows.columns if c not in ("sig", "place")]
+    together = cut(dealt.groupBy("block", *own).agg(F.min("place").alias("place")))
+    merged = cut(
+        together.groupBy("block").agg(F.count("*").alias("c")).join(apart, "block").filter(F.col("c") * F.col("c") < F.col("apart")).select("block")
+    )
+    alone = dealt.join(merged, "block", "left_anti").withColumn("block", F.col("sig")).withColumn("merged", F.lit(False))
+    joined = together.join(merged, "block").withColumn("merged", F.lit(True))
+    columns = ["block", "merged", *own, "place"]
+    return alone.select(columns).unionByName(joined.select(columns))
+
+
 def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> DataFrame | None:
     """(cid, label) of the classes that are linked to another; None without any link.
 
     ``rows``: sig, cid, n, place, own. In a star round one class of each signature is compared with the signature's other
     classes and then leaves it, so work follows the rows. It is drawn by one of ``HUB_DRAWS`` hashes, so that signatures
     of the same classes draw some different ones. Classes that are already connected are not compared again, and a signature whose classes are all connected is done. After
-    ``star_rounds`` what is left is compared in pairs of which at least one class has few enough tokens of its own (a
+    ``star_rounds`` what is left is dealt to blocks and compared in pairs of which at least one class has few enough tokens of its own (a
     signature without such a class is done) and whose parities differ in few enough bits.
     """
     percent = compare.plan.percent
@@ -148,9 +169,9 @@ def link_classes(rows: DataFrame, compare: Comparison, star_rounds: int) -> Data
             hub = {"cid": "a", "n": "n_a", "place": "place_a", "own": "own_a", "label": "label_a"}
             met = rows.select(*[F.col(f"hub.{c}").alias(n) for c, n in hub.items()], *right)
         else:
-            marked = rows.join(compare.classes.select("cid", "marks"), "cid")
-            left = marked.filter("light").select("sig", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in [*names, "marks"]])
-            met = left.join(marked.select("sig", *right, F.col("marks").alias("marks_b")), "sig").filter("a < b or not light_b")
+            marked = blocks(rows.drop("hub")).join(compare.classes.select("cid", "marks"), "cid")
+            left = marked.filter("light").select("block", "merged", *[F.col(c).alias({"cid": "a"}.get(c, f"{c}_a")) for c in [*names, "marks"]])
+            met = left.join(marked.select("block", "merged", *right, F.col("marks").alias("marks_b")), ["block", "merged"]).filter("a < b or not light_b")
             met = met.filter(few_apart(percent, "n_a", "marks_a", "n_b", "marks_b", compare.plan.marks))
         first = F.col("a") < F.col("b")
         pairs = (
