@@ -75,6 +75,16 @@ class Units:
         return np.searchsorted(self.unit, np.arange(len(self.text) + 1))
 
 
+def by_unit(tokens: np.ndarray, unit: np.ndarray, units: int) -> np.ndarray:
+    """The order of tokens inside each of ``units`` units: by the unit and the tokens' first bits, if that already tells all."""
+    if units <= 1 << 16:
+        order = np.argsort(unit.astype(U64) << U64(48) | tokens >> U64(16))
+        t, u = tokens[order], unit[order]
+        if not ((t[1:] < t[:-1]) & (u[1:] == u[:-1])).any():
+            return order
+    return np.lexsort((tokens, unit))
+
+
 def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classes: np.ndarray | None = None) -> Units:
     """A-Z count as a-z. A unit of fewer than ``k`` words is one shingle; one of fewer than ``least_words`` has none.
 
@@ -92,12 +102,14 @@ def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classe
     words = np.diff(offsets)
     owner = np.repeat(np.arange(len(starts)), words)
     shingles = window_hashes(hashes, k)
-    at = np.arange(len(shingles))
-    whole = at + k <= offsets[owner[at] + 1] if len(at) else np.empty(0, bool)
-    tokens, unit = shingles[whole], owner[at[whole]] if len(at) else np.empty(0, np.int64)
+    whole = np.ones(len(shingles), bool)
+    for ahead in range(1, k):  # the last words of a unit begin no shingle of it
+        last = offsets[1:] - ahead
+        whole[last[(last >= 0) & (last < len(whole))]] = False
+    tokens, unit = shingles[whole], owner[: len(whole)][whole]
     short = np.flatnonzero((words > 0) & (words < k) & (words >= least_words))
     if len(short):
-        inside = np.isin(owner, short)
+        inside = ((words < k) & (words >= least_words))[owner]
         place = np.arange(len(hashes))[inside] - offsets[owner[inside]]
         sums = np.add.reduceat(hashes[inside] * powers(k + 1)[place + 1], np.flatnonzero(place == 0))
         tokens, unit = np.concatenate((tokens, mix(sums, 4096))), np.concatenate((unit, short))
@@ -107,9 +119,7 @@ def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classe
     tokens >>= U64(64 - TOKEN_BITS)
     if classes is not None:
         tokens |= sketch.classes_of(tokens, classes).astype(U64) << U64(TOKEN_BITS)
-    order = np.argsort(tokens)
-    # short numbers are sorted by counting
-    order = order[np.argsort(unit.astype(np.uint16 if len(starts) <= 1 << 16 else np.int64)[order], kind="stable")]
+    order = by_unit(tokens, unit, len(starts))
     tokens, unit = tokens[order], unit[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (unit[1:] != unit[:-1])
