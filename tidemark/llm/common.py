@@ -33,15 +33,16 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def cut(df: DataFrame, rows: int = 1_000) -> DataFrame:
+def cut(df: DataFrame, rows: int = 1_000, distinct: bool = False) -> DataFrame:
     """The rows as a table in the shared folder: later steps neither recompute nor lose them.
 
     Unlike after a checkpoint, the optimizer knows the table's true size. A checkpoint keeps the estimate of its plan, and
-    over rounds of joins such estimates are multiplied until planning itself does not end. ``rows``: see batch_rows.
+    over rounds of joins such estimates are multiplied until planning itself does not end. ``rows``: see batch_rows. ``distinct``: most values are, so no
+    dictionaries of them are tried.
     """
     path = scratch_path(df.sparkSession, "cut")
     with batch_rows(df.sparkSession, rows):
-        df.write.parquet(path)
+        df.write.option("parquet.enable.dictionary", not distinct).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -85,10 +85,10 @@ def by_unit(tokens: np.ndarray, unit: np.ndarray, units: int) -> np.ndarray:
     return np.lexsort((tokens, unit))
 
 
-def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classes: np.ndarray | None = None) -> Units:
-    """A-Z count as a-z. A unit of fewer than ``k`` words is one shingle; one of fewer than ``least_words`` has none.
+def shingles_of(texts: list[bytes], k: int, by_line: bool, least_words: int) -> Units:
+    """All shingles of the units in no order, repeated ones too, so without offsets.
 
-    With ``classes`` the frequency class of a token stands above its 58 bits, so that tokens sort from rare to frequent.
+    A-Z count as a-z. A unit of fewer than ``k`` words is one shingle; one of fewer than ``least_words`` has none.
     """
     raw = b"\n".join([t.lower() for t in texts])
     hashes, places = split_hashes(raw)
@@ -117,13 +117,23 @@ def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classe
         keep = words[unit] >= least_words
         tokens, unit = tokens[keep], unit[keep]
     tokens >>= U64(64 - TOKEN_BITS)
+    return Units(text, line, words, tokens, unit)
+
+
+def units_of(texts: list[bytes], k: int, by_line: bool, least_words: int, classes: np.ndarray | None = None) -> Units:
+    """The units with their distinct shingles (see shingles_of), sorted.
+
+    With ``classes`` the frequency class of a token stands above its 58 bits, so that tokens sort from rare to frequent.
+    """
+    units = shingles_of(texts, k, by_line, least_words)
+    tokens, unit = units.tokens, units.unit
     if classes is not None:
         tokens |= sketch.classes_of(tokens, classes).astype(U64) << U64(TOKEN_BITS)
-    order = by_unit(tokens, unit, len(starts))
+    order = by_unit(tokens, unit, len(units.text))
     tokens, unit = tokens[order], unit[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (unit[1:] != unit[:-1])
-    return Units(text, line, words, tokens[new], unit[new])
+    return Units(units.text, units.line, units.words, tokens[new], unit[new])
 
 
 def digests(units: Units) -> list[bytes]:
@@ -168,18 +178,26 @@ class Plan:
     slice_bytes: int = 1_000_000
     marks: int = 0
 
-    def chunks(self, batches: Iterator[pa.RecordBatch], classes: np.ndarray | None) -> Iterator[tuple[pa.RecordBatch, int, Units]]:
+    def chunks(
+        self, batches: Iterator[pa.RecordBatch], classes: np.ndarray | None, distinct: bool = True
+    ) -> Iterator[tuple[pa.RecordBatch, int, Units]]:
         for batch in batches:
             for first, _, texts in text_slices(batch, "text", self.slice_bytes):
-                yield batch, first, units_of(texts, self.k, self.by_line, self.least_words, classes)
+                if distinct:
+                    yield batch, first, units_of(texts, self.k, self.by_line, self.least_words, classes)
+                else:
+                    yield batch, first, shingles_of(texts, self.k, self.by_line, self.least_words)
 
 
-def token_classes(source: DataFrame, plan: Plan):
-    """(broadcast frequency classes, number of tokens)."""
+def token_classes(source: DataFrame, plan: Plan, distinct: bool = True):
+    """(broadcast frequency classes, number of tokens).
+
+    Not ``distinct``: a token counts as often as it stands in a unit. That takes no sorting by units, and moves work, never results.
+    """
 
     @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from sketch.count_parts(u.tokens for _, _, u in plan.chunks(batches, None))
+        yield from sketch.count_parts(u.tokens for _, _, u in plan.chunks(batches, None, distinct))
 
     parts = cut(source.select("text").mapInArrow(count, sketch.COUNT_TYPE))
     total = parts.agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("n")).first()["n"]
@@ -271,6 +289,23 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int, words: int = 0
     return met.filter(near & ((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b")))).select(*pairs.columns)
 
 
+def asked_lines(batch: pa.RecordBatch, max_bytes: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    """(cids, lines) of slices of about ``max_bytes``: the lines that ``lines`` (line, cid) asks for, and no others."""
+    cids, held, size = [], [], 0
+    texts = batch.column("text").cast(pa.large_binary())
+    for text, asked in zip(texts, batch.column("lines"), strict=True):
+        own = (text.as_py() or b"").split(b"\n")
+        for x in asked.as_py():
+            if held and size + len(own[x["line"]]) > max_bytes:
+                yield cids, held
+                cids, held, size = [], [], 0
+            cids.append(x["cid"])
+            held.append(own[x["line"]])
+            size += len(held[-1])
+    if held:
+        yield cids, held
+
+
 def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool) -> DataFrame:
     """(cid, set), cut, of the classes ``wanted`` (cid, first): tokens as sorted 64-bit integers.
 
@@ -282,6 +317,15 @@ def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool)
     few = asked.count() <= BROADCAST_NAMES
     joined = source.join(F.broadcast(asked) if few else asked, ["doc", "text_hash"]).select("text", "lines")
 
+    @freeing
+    def line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cids, lines in asked_lines(batch, plan.slice_bytes):
+                units = units_of(lines, plan.k, False, plan.least_words)
+                ends = units.offsets.astype(np.int32) * 8
+                found = pa.Array.from_buffers(pa.binary(), len(cids), [None, pa.py_buffer(ends), pa.py_buffer(units.tokens)])
+                yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), found], names=["cid", "set"])
+
     @freeing
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, units in plan.chunks(batches, None):
@@ -296,7 +340,7 @@ def class_sets(source: DataFrame, wanted: DataFrame, plan: Plan, repeated: bool)
                 names=["cid", "set"],
             )
 
-    found = joined.mapInArrow(sets, "cid long, set binary")
+    found = joined.mapInArrow(line_sets if plan.by_line else sets, "cid long, set binary")
     return cut(found.dropDuplicates(["cid"]) if repeated else found)
 
 

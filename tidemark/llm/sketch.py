@@ -70,35 +70,47 @@ def _blocks(keys: np.ndarray, bits: int, depth: int) -> Iterator[pa.RecordBatch]
         )
 
 
+def _merged(blocks: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    line, block, bits = zip(*blocks, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(line, pa.int32()), pa.array(block, pa.int32()), pa.array(bits, pa.binary())], names=["line", "block", "bits"])
+
+
 def repeated_cells(parts: DataFrame, bits: int, depth: int) -> np.ndarray:
     """(depth, 2 ** bits / 8) bits: whether a cell was met at least twice. ``parts`` holds rows of sketch_parts.
 
-    Blocks are merged by the tasks they are dealt to, one row at a time; the driver gets depth * 2 ** bits / 8 bytes.
+    Blocks are merged by the tasks they are dealt to, one block at a time; the driver gets depth * 2 ** bits / 8 bytes.
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
+        at, count = None, np.zeros(1 << BLOCK_BITS, np.uint8)
+
+        def done() -> tuple[int, int, bytes]:
+            return (*at, np.packbits(count > 1, bitorder="little").tobytes())
+
         for batch in batches:
-            for line, block, once, more in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                count = held.get((line, block))
-                if count is None:
-                    count = held[line, block] = np.zeros(1 << BLOCK_BITS, np.uint8)
-                single = np.frombuffer(once, "<u2")
-                count[single] = np.minimum(count[single] + 1, 2)
-                count[np.frombuffer(more, "<u2")] = 2
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in held], pa.int32()),
-                    pa.array([k[1] for k in held], pa.int32()),
-                    pa.array([np.packbits(v > 1, bitorder="little").tobytes() for v in held.values()], pa.binary()),
-                ],
-                names=["line", "block", "bits"],
-            )
+            line, block = (batch.column(i).to_numpy() for i in range(2))
+            opens = np.flatnonzero(np.concatenate(([True], (line[1:] != line[:-1]) | (block[1:] != block[:-1])))) if len(line) else []
+            once, more, ended = batch.column(2), batch.column(3), []
+            for a, b in zip(opens, [*opens[1:], len(line)], strict=True):
+                here = int(line[a]), int(block[a])
+                if here != at:
+                    if at is not None:
+                        ended.append(done())
+                    at = here
+                    count[:] = 0
+                single = np.frombuffer(b"".join(once[a:b].to_pylist()), "<u2")
+                count += np.minimum(np.bincount(single, minlength=len(count)), 2).astype(np.uint8)
+                count[np.frombuffer(b"".join(more[a:b].to_pylist()), "<u2")] = 2
+                np.minimum(count, 2, out=count)
+            if ended:
+                yield _merged(ended)
+        if at is not None:
+            yield _merged([done()])
 
     out = np.zeros((depth, max(1, (1 << bits) // 8)), np.uint8)
     step = (1 << BLOCK_BITS) // 8
-    merged = parts.repartition(F.col("line"), F.col("block")).mapInArrow(merge, "line int, block int, bits binary")
+    dealt = parts.repartition(F.col("line"), F.col("block")).sortWithinPartitions("line", "block")
+    merged = dealt.mapInArrow(merge, "line int, block int, bits binary")
     with batch_rows(parts.sparkSession, 1_000):
         blocks = merged.collect()
     for r in blocks:  # at most depth * 2 ** (bits - BLOCK_BITS) rows of 8 KB
